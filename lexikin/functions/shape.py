@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexikin.functions.compute import compute_once
 from lexikin.functions.signature import (
     LETTER_SET,
-    bigrams,
+    SIGNATURE,
     equal_positions,
+    letter_ngrams,
     with_signature,
 )
 
@@ -75,17 +77,15 @@ def sequence_ratio(a: str, b: str, mode: str = "positional") -> Column:
     raise ValueError(f"unknown f2_mode: {mode!r}")
 
 
-def ngram_jaccard(a: str, b: str, n: int = 2) -> Column:
-    """Jaccard of the n-gram sets of two word columns; 0 if a set is empty."""
-    return gram_set_jaccard(bigrams(a, n), bigrams(b, n))
+def set_ratio(common: Column, left: Column, right: Column) -> Column:
+    """Jaccard of two sets from the sizes of their intersection and of each."""
+    return _ratio(common, left + right - common, 0.0)
 
 
-def gram_set_jaccard(ga: Column, gb: Column) -> Column:
-    """f3 on gram sets that are already at hand."""
-    inter = F.size(F.array_intersect(ga, gb))
-    return F.when((F.size(ga) == 0) | (F.size(gb) == 0), F.lit(0.0)).otherwise(
-        _ratio(inter, F.size(ga) + F.size(gb) - inter, 0.0)
-    )
+def ngram_jaccard(a: str, b: str, n: int = 2) -> Column:
+    """Jaccard of the n-gram sets of two word columns; 0 if a set is empty."""
+    ga, gb = letter_ngrams(a, n), letter_ngrams(b, n)
+    return set_ratio(F.size(F.array_intersect(ga, gb)), F.size(ga), F.size(gb))
 
 
 def root_match(a: str, b: str) -> Column:
@@ -105,51 +105,60 @@ def edit_ratio(a: str, b: str) -> Column:
     return F.lit(1.0) - _ratio(distance, longer(a, b), 1.0)
 
 
-def position_ratio(a: str, b: str) -> Column:
-    """f7: 1 - mean gap between a letter's place in ``a`` and its first place in
-    ``b``, over the letters of ``a`` found in ``b``, relative to the longer length.
-
-    Not symmetric. The running sum and the count share one long: the sum sits
-    above bit 20.
+def position_shifts(a: str, b: str) -> Column:
+    """Over the letters of ``a`` found in ``b``: the sum of the gaps between a
+    letter's place in ``a`` and its first place in ``b``, shifted left by 20 bits,
+    plus the number of such letters.
     """
-    place = f"locate(substr({a}word, i, 1), {b}word)"
+    found_at = f"transform(split({a}word, ''), c -> locate(c, {b}word))"
+    shifts = (
+        f"transform({found_at}, (j, i) -> CASE WHEN j > 0 "
+        f"THEN shiftleft(CAST(abs(i + 1 - j) AS BIGINT), 20) + 1L ELSE 0L END)"
+    )
     packed = F.expr(
-        f"CASE WHEN {a}word = '' OR {b}word = '' THEN 0L ELSE "
-        f"aggregate(sequence(1, length({a}word)), 0L, (acc, i) -> acc + "
-        f"CASE WHEN {place} > 0 THEN shiftleft(CAST(abs(i - {place}) AS BIGINT), 20) + 1L "
-        f"ELSE 0L END) END"
+        f"CASE WHEN {a}word = '' OR {b}word = '' THEN 0L "
+        f"ELSE aggregate({shifts}, 0L, (acc, x) -> acc + x) END"
     )
-    total = F.shiftright(packed, 20).cast("double")
-    found = packed.bitwiseAND(F.lit((1 << 20) - 1)).cast("double")
-    return F.lit(1.0) - F.coalesce(
-        F.try_divide(F.try_divide(total, found), longer(a, b).cast("double")), F.lit(1.0)
+    return packed
+
+
+def position_ratio(shifts: Column, longest: Column) -> Column:
+    """f7: 1 - mean gap / longer length, from ``position_shifts``; 0 if no letter of
+    the first word is found in the second. Not symmetric.
+    """
+    total = F.shiftright(shifts, 20).cast("double")
+    found = shifts.bitwiseAND(F.lit((1 << 20) - 1)).cast("double")
+    return F.when(found > 0, F.lit(1.0) - total / found / longest.cast("double")).otherwise(
+        F.lit(0.0)
     )
 
 
 def with_features(
     pairs: DataFrame, a: str = "a_", b: str = "b_", f2_mode: str = "positional"
 ) -> DataFrame:
-    """Add f1..f7 to pairs that carry both sides' word, stem and signature.
-
-    Gram sets are taken from ``{prefix}grams`` where the side has that column.
-    """
-    ga = F.col(f"{a}grams") if f"{a}grams" in pairs.columns else bigrams(f"{a}word")
-    gb = F.col(f"{b}grams") if f"{b}grams" in pairs.columns else bigrams(f"{b}word")
-    features = {
-        "f1": char_ratio(a, b),
-        "f2": sequence_ratio(a, b, f2_mode),
-        "f3": gram_set_jaccard(ga, gb),
-        "f4": root_match(a, b),
-        "f5": length_ratio(a, b),
-        "f6": edit_ratio(a, b),
-        "f7": position_ratio(a, b),
-    }
-    return pairs.withColumns({k: v for k, v in features.items() if k not in pairs.columns})
+    """Add f1..f7 to pairs that carry both sides' word, stem and signature."""
+    counted = compute_once(
+        pairs,
+        {
+            "f1": char_ratio(a, b),
+            "f2": sequence_ratio(a, b, f2_mode),
+            "common_grams": F.size(F.array_intersect(f"{a}grams", f"{b}grams")),
+            "f4": root_match(a, b),
+            "f5": length_ratio(a, b),
+            "f6": edit_ratio(a, b),
+            "shifts": position_shifts(a, b),
+        },
+    )
+    f3 = set_ratio(F.col("common_grams"), F.size(f"{a}grams"), F.size(f"{b}grams"))
+    return counted.select(
+        *pairs.columns, "f1", "f2", f3.alias("f3"), "f4", "f5", "f6",
+        position_ratio(F.col("shifts"), longer(a, b)).alias("f7"),
+    )
 
 
 def shape_features(pairs: DataFrame, f2_mode: str = "positional") -> DataFrame:
     """Add f1..f7 to pairs with ``a_word, a_stem, b_word, b_stem`` (cleaned words)."""
     signed = with_signature(with_signature(pairs, "a_word", "a_"), "b_word", "b_")
     return with_features(signed, f2_mode=f2_mode).drop(
-        *[f"{side}{c}" for side in ("a_", "b_") for c in ("len", "mask", "p0", "p1")]
+        *[f"{side}{c}" for side in ("a_", "b_") for c in SIGNATURE]
     )

@@ -8,6 +8,7 @@ whole-stage codegen:
 * ``mask``  bits 0-25: the letter occurs; bits 26-51: it occurs at least twice
 * ``p0``    letters 1-12 as twelve 5-bit fields
 * ``p1``    letters 13-24 likewise
+* ``grams`` the distinct letter pairs, as numbers
 
 Words must be cleaned (a-z only).
 """
@@ -16,12 +17,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexikin.functions.compute import compute_once
+
 LETTERS_PER_LONG = 12
 PACKED_LETTERS = 2 * LETTERS_PER_LONG
 LETTER_SET = (1 << 26) - 1
 FIELD_LOW_BITS = sum(1 << (5 * k) for k in range(LETTERS_PER_LONG))
 
-SIGNATURE = ("len", "mask", "p0", "p1")
+SIGNATURE = ("len", "mask", "p0", "p1", "grams")
 
 
 def letter_mask(word: str) -> Column:
@@ -42,17 +45,29 @@ def packed_letters(word: str, first: int) -> Column:
 
 def with_signature(df: DataFrame, word: str = "word", prefix: str = "") -> DataFrame:
     """Add the signature columns of ``word``, each named with ``prefix``."""
-    return df.withColumns(
+    return compute_once(
+        df,
         {
             f"{prefix}len": F.length(word),
             f"{prefix}mask": letter_mask(word),
             f"{prefix}p0": packed_letters(word, 1),
             f"{prefix}p1": packed_letters(word, 1 + LETTERS_PER_LONG),
-        }
+            f"{prefix}grams": letter_pairs(word),
+        },
+    )
+
+
+def letter_pairs(word: str) -> Column:
+    """The distinct letter pairs of a word, each as 32 * first + second."""
+    code = "(ascii(substr({w}, {i}, 1)) & 31)"
+    first, second = code.format(w=word, i="i"), code.format(w=word, i="i + 1")
+    return F.expr(
+        f"CASE WHEN length({word}) < 2 THEN CAST(array() AS array<int>) ELSE array_distinct("
+        f"transform(sequence(1, length({word}) - 1), i -> 32 * {first} + {second})) END"
     )
 
 
-def bigrams(word: str, n: int = 2) -> Column:
+def letter_ngrams(word: str, n: int) -> Column:
     """Distinct letter n-grams; empty for words shorter than ``n``."""
     return F.expr(
         f"CASE WHEN length({word}) < {n} THEN CAST(array() AS array<string>) ELSE "
@@ -69,25 +84,34 @@ def _differing_fields(x: Column, y: Column) -> Column:
     return F.bit_count(folded.bitwiseAND(F.lit(FIELD_LOW_BITS)))
 
 
+def _equal_in_head(a: str, b: str) -> Column:
+    cap = F.lit(PACKED_LETTERS)
+    differing = _differing_fields(F.col(f"{a}p0"), F.col(f"{b}p0")) + _differing_fields(
+        F.col(f"{a}p1"), F.col(f"{b}p1")
+    )
+    longest_head = F.least(F.greatest(F.col(f"{a}len"), F.col(f"{b}len")), cap)
+    return longest_head - differing
+
+
 def equal_positions(a: str, b: str) -> Column:
     """Positions at which two words carry the same letter.
 
     ``a`` and ``b`` are column prefixes. The first 24 letters are compared in
     packed form, the rest of longer words letter by letter.
     """
-    la, lb = F.col(f"{a}len"), F.col(f"{b}len")
-    cap = F.lit(PACKED_LETTERS)
-    differing = _differing_fields(F.col(f"{a}p0"), F.col(f"{b}p0")) + _differing_fields(
-        F.col(f"{a}p1"), F.col(f"{b}p1")
-    )
-    head = F.greatest(F.least(la, cap), F.least(lb, cap)) - differing
     shorter = f"least({a}len, {b}len)"
     tail = F.expr(
         f"CASE WHEN {shorter} > {PACKED_LETTERS} THEN size(filter("
         f"sequence({PACKED_LETTERS + 1}, {shorter}), "
         f"i -> substr({a}word, i, 1) = substr({b}word, i, 1))) ELSE 0 END"
     )
-    return head + tail
+    return _equal_in_head(a, b) + tail
+
+
+def equal_positions_ceiling(a: str, b: str) -> Column:
+    """An upper bound of ``equal_positions`` that compiles; exact up to 24 letters."""
+    shorter = F.least(F.col(f"{a}len"), F.col(f"{b}len"))
+    return _equal_in_head(a, b) + F.greatest(shorter - PACKED_LETTERS, F.lit(0))
 
 
 def unmatched_letters(a: str, b: str) -> Column:

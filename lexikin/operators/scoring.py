@@ -12,11 +12,19 @@ from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexikin.functions.compute import compute_once
 from lexikin.functions.shape import FEATURES, longer, with_features
-from lexikin.functions.signature import edit_distance_floor, equal_positions, unmatched_letters
+from lexikin.functions.signature import (
+    edit_distance_floor,
+    equal_positions_ceiling,
+    unmatched_letters,
+)
 from lexikin.params import ShapeParams
 
 
+SLACK = 1e-9
+
+
 class ProbabilitySource(Protocol):
     def with_probability(self, pairs: DataFrame) -> DataFrame: ...
 
@@ -42,7 +50,7 @@ class FixedLogit:
         z = F.lit(float(self.intercept))
         for name, weight in zip(FEATURES, self.coefficients, strict=True):
             z = z + F.lit(float(weight)) * F.col(name)
-        return pairs.withColumn("ml_prob", 1.0 / (1.0 + F.exp(-z)))
+        return compute_once(pairs, {"ml_prob": 1.0 / (1.0 + F.exp(-z))})
 
 
 def pair_probability(pairs: DataFrame, model: ProbabilitySource | None = None) -> DataFrame:
@@ -77,35 +85,44 @@ def score_pairs(
     scored = pair_probability(with_features(pairs, a, b, params.f2_mode), model)
     gap = F.abs(F.col(f"{a}len") - F.col(f"{b}len"))
     blended = final_score(F.col("f2"), F.col("f6"), F.col("ml_prob"), params)
-    return scored.withColumn(
-        "score",
+    score = (
         F.when(gap > params.max_len_diff, F.lit(0.0))
         .when(edit_similarity(F.col("f6"), longer(a, b)) < params.min_edit_sim, F.lit(0.0))
-        .otherwise(blended),
+        .otherwise(blended)
+    )
+    return compute_once(scored, {"score": score})
+
+
+def rule_floor(score_floor: Column, params: ShapeParams) -> Column:
+    """The least rule score with which a pair can reach ``score_floor``.
+
+    Holds for any probability source: above the penalty rule the probability is at
+    most 1; below it a pair scores best with the probability either at the penalty
+    threshold or at certainty times the penalty factor.
+    """
+    damped_best = params.prob_weight * max(params.penalty_prob, params.penalty_factor)
+    below = (score_floor - damped_best) / params.rule_weight
+    above = (score_floor - params.prob_weight) / params.rule_weight
+    return F.when(below < params.penalty_rule, below).otherwise(
+        F.greatest(F.lit(params.penalty_rule), above)
     )
 
 
-def score_ceiling(a: str, b: str, params: ShapeParams) -> Column:
-    """An upper bound of the score that any probability source can give a pair.
+def can_reach_rule(a: str, b: str, floor: Column, params: ShapeParams) -> Column:
+    """False only if a pair's rule score is sure to stay below ``floor``.
 
-    It needs the signatures only: f2 is exact (or bounded, for the subsequence
-    form) and f6 is at most 1 - edit distance floor / longer length. Below the
-    penalty rule a pair scores best either with the probability at the penalty
-    threshold or with certainty times the penalty factor.
+    It needs the signatures only and compiles into a join: f2 is exact up to 24
+    letters (and bounded in the subsequence form), and f6 is at most 1 - edit distance floor / longer length.
     """
-    longest = longer(a, b).cast("double")
-    f6_max = F.lit(1.0) - edit_distance_floor(a, b) / longest
+    longest = longer(a, b)
+    edits_apart = edit_distance_floor(a, b)
     if params.f2_mode == "positional":
-        f2_max = equal_positions(a, b) / longest
-    else:
-        common = F.least(
-            F.col(f"{a}len") - unmatched_letters(a, b),
-            F.col(f"{b}len") - unmatched_letters(b, a),
-        )
-        f2_max = 2 * common / (F.col(f"{a}len") + F.col(f"{b}len")).cast("double")
-    rule_max = (f2_max + f6_max) / 2
-    prob_max = F.when(rule_max >= params.penalty_rule - 1e-9, F.lit(1.0)).otherwise(
-        F.lit(max(params.penalty_prob, params.penalty_factor))
+        # (m / L + 1 - d / L) / 2 >= floor, multiplied out
+        return equal_positions_ceiling(a, b) + longest - edits_apart >= (2 * floor - SLACK) * longest
+    common = F.least(
+        F.col(f"{a}len") - unmatched_letters(a, b), F.col(f"{b}len") - unmatched_letters(b, a)
     )
-    bound = F.lit(params.rule_weight) * rule_max + F.lit(params.prob_weight) * prob_max
-    return F.when(longest == 0, F.lit(params.rule_weight + params.prob_weight)).otherwise(bound)
+    total = F.col(f"{a}len") + F.col(f"{b}len")
+    return 2 * common * longest + (longest - edits_apart) * total >= (
+        2 * floor - SLACK
+    ) * longest * total

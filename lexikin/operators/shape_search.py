@@ -3,10 +3,9 @@
 The result is the exact top k over every dictionary row in the length band. Two
 things keep the work small:
 
-* A *floor* per query: the k-th best score among its close neighbours (words that
-  agree after dropping at most one letter on each side). Neighbour groups are
-  small by construction, because distinct words with a common shortened form of
-  length n number at most 26 * (n + 1) + 1.
+* A *floor* per query: the k-th best score among some near words (words that agree
+  after dropping at most one letter each, and words that share a half). Which near
+  words are looked at affects the cost only.
 * A *ceiling* per pair from the word signatures. A pair whose ceiling lies below
   the query's floor cannot enter the top k and is dropped inside the join
   condition, before edit distance, features and model are computed. Pairs at or
@@ -22,20 +21,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexikin.functions.compute import compute_once
 from lexikin.functions.shape import char_ratio, edit_ratio, longer, sequence_ratio
-from lexikin.functions.signature import SIGNATURE, bigrams, with_signature
+from lexikin.functions.signature import SIGNATURE, equal_positions_ceiling, with_signature
 from lexikin.operators.attach import attach_by_key
 from lexikin.operators.scoring import (
+    SLACK,
     ProbabilitySource,
+    can_reach_rule,
     edit_similarity,
-    score_ceiling,
+    rule_floor,
     score_pairs,
 )
-from lexikin.operators.sizes import rows_up_to
+from lexikin.operators.sizes import rows_up_to, shuffle_partitions
 from lexikin.params import ShapeParams
 
-SLACK = 1e-9
 LONGEST_NEIGHBOUR_WORD = 64
+BAND_OF_HALVES = 2
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,7 @@ class SearchPlan:
     broadcast_hits: int = 200_000
     tile_rows: int = 50_000
     floors_from: int = 32
+    words_per_half: int = 16
     hot_rows: int = 1_000_000
 
 
@@ -85,17 +88,59 @@ def candidate_pairs(
     return a.join(b, (F.col("band") == F.col("b_len")) & _lookalike(params)).drop("band")
 
 
-def _neighbour_keys(word: str) -> Column:
+def _shortened(word: str) -> Column:
+    """The word and every form of it that lacks one letter."""
     return F.expr(
         f"array_distinct(concat(array({word}), transform(sequence(1, length({word})), "
         f"i -> concat(substr({word}, 1, i - 1), substr({word}, i + 1)))))"
     )
 
 
-def _with_keys(side: DataFrame, prefix: str) -> DataFrame:
+def _halves(word: str, lengths: str) -> Column:
+    """First and last half of a word, cut as for a word of each of ``lengths``."""
+    return F.expr(
+        f"array_distinct(flatten(transform({lengths}, n -> array("
+        f"concat('^', left({word}, (n + 1) div 2)), concat('$', right({word}, (n + 1) div 2))))))"
+    )
+
+
+def _keyed(side: DataFrame, prefix: str, keys: Column) -> DataFrame:
     length = F.col(f"{prefix}len")
     return side.where((length > 0) & (length <= LONGEST_NEIGHBOUR_WORD)).select(
-        *[c for c in side.columns], F.explode(_neighbour_keys(f"{prefix}word")).alias("key")
+        f"{prefix}word", f"{prefix}stem", F.explode(keys).alias("key")
+    )
+
+
+def _neighbours(a: DataFrame, b: DataFrame, plan: SearchPlan, broadcast: bool) -> DataFrame:
+    """Distinct word pairs that are likely to score high.
+
+    Words that agree after dropping at most one letter each: distinct words with a
+    common shortened form of length n number at most 26 * (n + 1) + 1, so these
+    groups are small. Words that share a half: a few words stand for each half.
+    """
+    maybe = F.broadcast if broadcast else (lambda df: df)
+
+    shortened_a = maybe(_keyed(a, "a_", _shortened("a_word")))
+    close = _keyed(b, "b_", _shortened("b_word")).join(shortened_a, "key")
+
+    band = "sequence(greatest(a_len - {w}, 1), a_len + {w})".format(w=BAND_OF_HALVES)
+    halves_a = maybe(_keyed(a, "a_", _halves("a_word", band)))
+    halves_b = _keyed(b, "b_", _halves("b_word", "array(b_len)"))
+    if broadcast:
+        halves_b = halves_b.join(F.broadcast(halves_a.select("key").distinct()), "key", "left_semi")
+    some = Window.partitionBy("key").orderBy("b_word", "b_stem")
+    halves_b = halves_b.withColumn("place", F.row_number().over(some)).where(
+        F.col("place") <= plan.words_per_half
+    )
+    related = halves_b.drop("place").join(halves_a, "key")
+
+    # one shuffle by query serves the distinct and the ranking of its scores
+    return (
+        close.unionByName(related)
+        .where(F.col("a_word") != F.col("b_word"))
+        .select("a_word", "a_stem", "b_word", "b_stem")
+        .repartition(shuffle_partitions(a), "a_word", "a_stem")
+        .distinct()
     )
 
 
@@ -105,21 +150,16 @@ def score_floors(
     model: ProbabilitySource | None,
     k: int,
     params: ShapeParams,
+    plan: SearchPlan,
     broadcast: bool,
 ) -> DataFrame:
-    """``(a_word, a_stem, floor)`` for queries with at least k close neighbours."""
-    keys = _with_keys(a.select("a_word", "a_stem", "a_len"), "a_").drop("a_len")
-    keys = F.broadcast(keys) if broadcast else keys
-    near = (
-        _with_keys(b.select("b_word", "b_stem", "b_len"), "b_")
-        .drop("b_len")
-        .join(keys, "key")
-        .where(F.col("a_word") != F.col("b_word"))
-        .select("a_word", "a_stem", "b_word", "b_stem")
-        .distinct()
-    )
+    """``(a_word, a_stem, floor)`` for queries with at least k near words."""
+    near = _neighbours(a, b, plan, broadcast)
     near = with_signature(with_signature(near, "a_word", "a_"), "b_word", "b_")
-    near = near.where(char_ratio("a_", "b_") >= params.min_char_ratio)
+    gap = F.abs(F.col("a_len") - F.col("b_len"))
+    near = near.where(
+        (gap <= params.max_len_diff) & (char_ratio("a_", "b_") >= params.min_char_ratio)
+    )
     scored = score_pairs(near, model, params).where(F.col("score") > params.min_score)
     order = Window.partitionBy("a_word", "a_stem").orderBy(F.desc("score"))
     return (
@@ -167,7 +207,7 @@ def _tiled_join(a: DataFrame, b: DataFrame, keep: Column, params: ShapeParams, t
             side.withColumns({f"{own}lenkey": F.col(f"{own}len"), f"{own}tile": tile})
             .withColumn(f"{other}lenkey", F.explode(_band(f"{own}len", params.max_len_diff)))
             .withColumn(
-                f"{other}tile", F.explode(F.sequence(F.lit(0), F.lit(other_tiles - 1))).cast("long")
+                f"{other}tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other_tiles - 1).cast("long")))
             )
         )
 
@@ -178,21 +218,26 @@ def _tiled_join(a: DataFrame, b: DataFrame, keep: Column, params: ShapeParams, t
     for c in on:
         same_tile = same_tile & (F.col(f"l.{c}") == F.col(f"r.{c}"))
     # neither side may be taken for small: both grow with the dictionary
-    return left.hint("shuffle_hash").join(right, same_tile & keep).drop(*on)
+    n = shuffle_partitions(a)
+    left, right = left.repartition(n, *on), right.repartition(n, *on)
+    return left.join(right.hint("shuffle_hash"), same_tile & keep).drop(*on)
 
 
 def _scored_candidates(pairs: DataFrame, model: ProbabilitySource | None, params: ShapeParams):
-    """Edit cut, exact-rule cut against the floor, then features and score."""
-    mode = params.f2_mode
-    cut = pairs.withColumn("f6", edit_ratio("a_", "b_")).where(
-        edit_similarity(F.col("f6"), longer("a_", "b_")) >= params.min_edit_sim
-    )
-    rule = (sequence_ratio("a_", "b_", mode) + F.col("f6")) / 2
-    best_prob = F.when(rule >= params.penalty_rule - SLACK, F.lit(1.0)).otherwise(
-        F.lit(max(params.penalty_prob, params.penalty_factor))
+    """Edit cut, rule cut against the floor, then features and score."""
+    longest = longer("a_", "b_")
+    if params.f2_mode == "positional":
+        # exact up to 24 letters, a ceiling beyond
+        f2_max = F.when(longest > 0, equal_positions_ceiling("a_", "b_") / longest).otherwise(0.0)
+    else:
+        f2_max = sequence_ratio("a_", "b_", params.f2_mode)
+    cut = compute_once(
+        pairs,
+        {"f2_max": f2_max, "edit_sim": edit_similarity(edit_ratio("a_", "b_"), longest)},
+    ).where(
+        (F.col("edit_sim") >= params.min_edit_sim)
+        & ((F.col("f2_max") + F.col("edit_sim")) / 2 >= F.col("a_rule_floor") - SLACK)
     )
-    ceiling = params.rule_weight * rule + params.prob_weight * best_prob
-    cut = cut.where(ceiling >= F.col("a_floor") - SLACK)
     return score_pairs(cut, model, params).where(F.col("score") > params.min_score)
 
 
@@ -224,7 +269,11 @@ def hits_by_word(
     n = rows_up_to(words, plan.broadcast_queries)
     few = n is not None
     if few:
-        b = _side(dictionary, "b_", "idx")
+        narrow = dictionary.select("word", "stem", "idx")
+        if n >= plan.floors_from:
+            # work per row grows with the queries, so rows are spread by number, not bytes
+            narrow = narrow.repartition(shuffle_partitions(dictionary), "idx")
+        b = _side(narrow, "b_", "idx")
         rows = [F.col("b_idx")]
     else:
         b = _side(_leading_rows(dictionary, k), "b_", "rows")
@@ -232,19 +281,16 @@ def hits_by_word(
 
     a = _side(words, "a_")
     floor = F.lit(params.min_score)
-    if few and n < plan.floors_from:
-        a = a.withColumn("a_floor", floor)
-    else:
-        floors = score_floors(a, b, model, k, params, broadcast=few)
+    if n is None or n >= plan.floors_from:
+        floors = score_floors(a, b, model, k, params, plan, broadcast=few)
         floors = F.broadcast(floors) if few else floors
-        a = a.join(floors, ["a_word", "a_stem"], "left").withColumn(
-            "a_floor", F.coalesce(F.col("floor"), floor)
-        )
-    a = a.select("a_word", "a_stem", *[f"a_{c}" for c in SIGNATURE], "a_floor")
-
-    keep = _lookalike(params) & (
-        score_ceiling("a_", "b_", params) >= F.col("a_floor") - SLACK
+        a = a.join(floors, ["a_word", "a_stem"], "left")
+        floor = F.coalesce(F.col("floor"), floor)
+    a = compute_once(a, {"a_rule_floor": rule_floor(floor, params)}).select(
+        "a_word", "a_stem", *[f"a_{c}" for c in SIGNATURE], "a_rule_floor"
     )
+
+    keep = _lookalike(params) & can_reach_rule("a_", "b_", F.col("a_rule_floor"), params)
     if few:
         probes = a.withColumn("band", F.explode(_band("a_len", params.max_len_diff)))
         pairs = b.join(F.broadcast(probes), (F.col("b_len") == F.col("band")) & keep)
