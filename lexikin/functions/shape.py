@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexikin.functions.compute import compute_once
 from lexikin.functions.signature import (
+    LETTERS_PER_LONG,
     LETTER_SET,
     SIGNATURE,
     equal_positions,
     letter_ngrams,
+    packed_lcs_length,
     with_signature,
 )
 
@@ -68,12 +70,20 @@ def lcs_ratio(a: str, b: str) -> Column:
     return _ratio(2 * lcs_length(a, b), total, 1.0)
 
 
+def signed_lcs_length(a: str, b: str) -> Column:
+    """``lcs_length`` for two signed sides; short words take the packed form."""
+    return F.when(longer(a, b) <= LETTERS_PER_LONG, packed_lcs_length(a, b)).otherwise(
+        lcs_length(f"{a}word", f"{b}word")
+    )
+
+
 def sequence_ratio(a: str, b: str, mode: str = "positional") -> Column:
     if mode == "positional":
         return positional_ratio(a, b)
     if mode == "lcs_ratio":
         # as a feature of two empty words this is 0, like the positional form
-        return F.when(longer(a, b) == 0, F.lit(0.0)).otherwise(lcs_ratio(f"{a}word", f"{b}word"))
+        total = F.col(f"{a}len") + F.col(f"{b}len")
+        return _ratio(2 * signed_lcs_length(a, b), total, 0.0)
     raise ValueError(f"unknown f2_mode: {mode!r}")
 
 

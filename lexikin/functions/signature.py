@@ -36,11 +36,11 @@ def letter_mask(word: str) -> Column:
 
 
 def packed_letters(word: str, first: int) -> Column:
-    fields = [
-        f"shiftleft(CAST(ascii(substr({word}, {first + k}, 1)) & 31 AS BIGINT), {5 * k})"
-        for k in range(LETTERS_PER_LONG)
-    ]
-    return F.expr(" | ".join(fields))
+    last = first + LETTERS_PER_LONG - 1
+    return F.expr(
+        f"aggregate(sequence({first}, {last}), 0L, (s, i) -> s | shiftleft("
+        f"CAST(ascii(substr({word}, i, 1)) & 31 AS BIGINT), 5 * (i - {first})))"
+    )
 
 
 def with_signature(df: DataFrame, word: str = "word", prefix: str = "") -> DataFrame:
@@ -126,3 +126,24 @@ def edit_distance_floor(a: str, b: str) -> Column:
         unmatched_letters(b, a),
         F.abs(F.col(f"{a}len") - F.col(f"{b}len")),
     )
+
+
+def packed_lcs_length(a: str, b: str) -> Column:
+    """Longest common subsequence of two words of at most 12 letters each.
+
+    The bit-vector form of the dynamic program (Crochemore et al., 2001): one long
+    holds a row of the table, one addition per letter of ``b`` moves to the next.
+    The four idle bits of each 5-bit field stay set, so carries pass over them.
+    """
+    full = (1 << (5 * LETTERS_PER_LONG)) - 1
+    differs = f"({a}p0 ^ ((shiftright({b}p0, 5 * (j - 1)) & 31) * {FIELD_LOW_BITS}))"
+    folded = " | ".join(f"shiftrightunsigned({differs}, {s})" for s in range(5))
+    step = f"((v + u) | (v - u)) & {full}"
+    row = (
+        f"aggregate(transform(sequence(1, {b}len), j -> ~({folded}) & {FIELD_LOW_BITS}), {full}, "
+        f"(v, m) -> transform(array(v & m), u -> {step})[0])"
+    )
+    return F.expr(
+        f"CASE WHEN {a}len = 0 OR {b}len = 0 THEN 0 "
+        f"ELSE bit_count(~({row}) & {FIELD_LOW_BITS}) END"
+    )

@@ -106,13 +106,14 @@ def _halves(word: str, lengths: str) -> Column:
 
 def _keyed(side: DataFrame, prefix: str, keys: Column) -> DataFrame:
     length = F.col(f"{prefix}len")
+    carried = [f"{prefix}{c}" for c in ("word", "stem", *SIGNATURE)]
     return side.where((length > 0) & (length <= LONGEST_NEIGHBOUR_WORD)).select(
-        f"{prefix}word", f"{prefix}stem", F.explode(keys).alias("key")
+        *carried, F.explode(keys).alias("key")
     )
 
 
 def _neighbours(a: DataFrame, b: DataFrame, plan: SearchPlan, broadcast: bool) -> DataFrame:
-    """Distinct word pairs that are likely to score high.
+    """Word pairs, some more than once, that are likely to score high.
 
     Words that agree after dropping at most one letter each: distinct words with a
     common shortened form of length n number at most 26 * (n + 1) + 1, so these
@@ -134,14 +135,7 @@ def _neighbours(a: DataFrame, b: DataFrame, plan: SearchPlan, broadcast: bool) -
     )
     related = halves_b.drop("place").join(halves_a, "key")
 
-    # one shuffle by query serves the distinct and the ranking of its scores
-    return (
-        close.unionByName(related)
-        .where(F.col("a_word") != F.col("b_word"))
-        .select("a_word", "a_stem", "b_word", "b_stem")
-        .repartition(shuffle_partitions(a), "a_word", "a_stem")
-        .distinct()
-    )
+    return close.unionByName(related).where(F.col("a_word") != F.col("b_word")).drop("key")
 
 
 def score_floors(
@@ -155,7 +149,6 @@ def score_floors(
 ) -> DataFrame:
     """``(a_word, a_stem, floor)`` for queries with at least k near words."""
     near = _neighbours(a, b, plan, broadcast)
-    near = with_signature(with_signature(near, "a_word", "a_"), "b_word", "b_")
     gap = F.abs(F.col("a_len") - F.col("b_len"))
     near = near.where(
         (gap <= params.max_len_diff) & (char_ratio("a_", "b_") >= params.min_char_ratio)
@@ -163,7 +156,9 @@ def score_floors(
     scored = score_pairs(near, model, params).where(F.col("score") > params.min_score)
     order = Window.partitionBy("a_word", "a_stem").orderBy(F.desc("score"))
     return (
-        scored.select("a_word", "a_stem", "score", F.row_number().over(order).alias("place"))
+        scored.select("a_word", "a_stem", "b_word", "b_stem", "score")
+        .distinct()
+        .withColumn("place", F.row_number().over(order))
         .where(F.col("place") == k)
         .select("a_word", "a_stem", F.col("score").alias("floor"))
     )
