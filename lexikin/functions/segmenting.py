@@ -1,0 +1,29 @@
+"""Best path through the dictionary words of one text run."""
+
+from __future__ import annotations
+
+from math import log
+
+
+def best_path(run: str, edges: list[tuple[int, int, int]], log_total: float) -> list[str]:
+    """Split ``run`` so that the product of the word probabilities is largest.
+
+    ``edges`` are (start, length, frequency) of the lexicon words found in the run.
+    A place where none starts yields one character of frequency 1. Of equally good
+    splits the one with the longer next word is taken.
+    """
+    starts: dict[int, list[tuple[int, int]]] = {}
+    for start, length, freq in edges:
+        starts.setdefault(start, []).append((length, freq))
+    best = [0.0] * (len(run) + 1)
+    step = [1] * (len(run) + 1)
+    for at in range(len(run) - 1, -1, -1):
+        best[at], step[at] = max(
+            (log(freq) - log_total + best[at + length], length)
+            for length, freq in starts.get(at, [(1, 1)])
+        )
+    tokens, at = [], 0
+    while at < len(run):
+        tokens.append(run[at : at + step[at]])
+        at += step[at]
+    return tokens
