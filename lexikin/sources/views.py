@@ -1,11 +1,12 @@
-"""Dictionary and query tables derived from whole text tables."""
+"""Dictionary and query tables derived from whole tables of texts and vectors."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexikin.functions.stemming import stem
 from lexikin.functions.text import letter_runs
+from lexikin.sources.numbering import with_row_index
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,3 +24,39 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
 
 def with_stems(words: DataFrame) -> DataFrame:
     return words.withColumn("stem", stem("word"))
+
+
+def vocabulary(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
+    """``idx, word, stem, meaning``: the words of a table's texts in alphabetical order;
+    the meaning tells how often the word occurs."""
+    words = word_counts(table(spark, sf_dir, name), text)
+    numbered = with_row_index(words, ["word"])
+    return with_stems(numbered).select(
+        "idx", "word", "stem", F.col("freq").cast("string").alias("meaning")
+    )
+
+
+def headword(text: str) -> Column:
+    """The longest a-z run of a text, the first in the alphabet among equals."""
+    ranked = F.transform(letter_runs(text), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))
+    return F.coalesce(F.array_min(ranked)["w"], F.lit(""))
+
+
+def document_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``idx, word, meaning``: each document's headword, with the whole text as meaning."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("idx"), headword("text").alias("word"), F.col("text").alias("meaning")
+    )
+
+
+def vector_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``idx, word, stem, meaning, vec``: each embedding with the headword of its document
+    (none where there is no such document) and a meaning its group shares."""
+    words = document_dictionary(spark, sf_dir).select("idx", "word")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("idx"),
+        F.concat(F.lit("m"), F.col("label").cast("string")).alias("meaning"),
+        F.col("embedding").cast("array<double>").alias("vec"),
+    )
+    named = vectors.join(words, "idx", "left").withColumn("word", F.coalesce("word", F.lit("")))
+    return with_stems(named).select("idx", "word", "stem", "meaning", "vec")
