@@ -278,8 +278,8 @@ def document_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trained_model(spark: SparkSession, sf: str) -> DataFrame:
-    """Validation accuracy of each classifier trained on the document words."""
-    model = train_shape_model(pairs.training_pairs(vocabulary(spark, sf, "documents", "text")))
+    """Validation accuracy of each classifier trained on the words of the benchmark texts."""
+    model = train_shape_model(pairs.training_pairs(_benchmark(spark, sf)))
     rows = [(name, accuracy, name == model.name) for name, accuracy in model.accuracy.items()]
     return spark.createDataFrame(rows, "classifier string, accuracy double, chosen boolean")
 

@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from lexikin.functions.stemming import stem
 from lexikin.functions.text import clean_meaning, clean_word
 from lexikin.operators.scoring import ProbabilitySource
+from lexikin.operators.shape_search import similar_shape
 from lexikin.params import ShapeParams
 from lexikin.plans.batch import pack_hits, similar_both
-from lexikin.operators.shape_search import similar_shape
 
 
 def stream_lookup(
@@ -35,18 +35,22 @@ def stream_lookup(
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         word = clean_word("word", "")
+        # read several times below; the batch itself must run once
         queries = batch.select(
             "qid", word.alias("word"), stem(word).alias("stem"),
             clean_meaning("meaning", "").alias("meaning"),
-        )
-        if encode is not None:
-            result = similar_both(encode(queries), dictionary, model, k, params)
-        else:
-            hits = similar_shape(queries.where("word <> ''"), dictionary, model, k, params)
-            result = queries.select("qid", "word", "meaning").join(
-                pack_hits(hits, "qid", "shape_results"), "qid", "left"
-            )
-        result.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        ).persist()
+        try:
+            if encode is not None:
+                result = similar_both(encode(queries), dictionary, model, k, params)
+            else:
+                hits = similar_shape(queries.where("word <> ''"), dictionary, model, k, params)
+                result = queries.select("qid", "word", "meaning").join(
+                    pack_hits(hits, "qid", "shape_results"), "qid", "left"
+                )
+            result.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        finally:
+            queries.unpersist()
 
     return (
         stream.writeStream.foreachBatch(answer)
