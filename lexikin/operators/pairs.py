@@ -16,6 +16,7 @@ from lexikin.functions.signature import (
 )
 from lexikin.operators.sizes import shuffle_partitions
 from lexikin.params import TrainingParams
+from lexikin.storage import durable
 
 BLOCK_ROWS = 4096
 DRAWS_PER_BUCKET = 100_000
@@ -179,7 +180,8 @@ def negative_pairs(
 
 def training_pairs(words: DataFrame, params: TrainingParams = TrainingParams()) -> DataFrame:
     """Positive and negative pairs, ``negative_ratio`` negatives to a positive."""
-    positive = positive_pairs(words, params)
+    # counted here and read again by the caller
+    positive = durable(positive_pairs(words, params))
     target = int(positive.count() * params.negative_ratio)
     negative = negative_pairs(words, target, params)
     return positive.withColumn("draw", F.lit(-1).cast("long")).unionByName(negative)
