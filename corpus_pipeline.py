@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexikin.llm.common import written
 from lexikin.llm.exact_dedup import deduplicated
+from lexikin.llm.mixing import mixed_rows
+from lexikin.llm.near_dedup import without_near_copies
+from lexikin.llm.pieces import encoded
+from lexikin.llm.toxicity import train_toxicity, with_toxicity
+
+REJECTED_FROM = 0.5
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.5 or more go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = train_toxicity(docs, labels)
+    return with_toxicity(docs, model, name="_score").where(F.col("_score") < REJECTED_FROM).drop("_score")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +27,30 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return deduplicated(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 80 % of their five-word shingles one stays."""
+    return without_near_copies(docs, size=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources by flattened weights: every document at least once, none over twice."""
+    return mixed_rows(docs, repeats=2.0).select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_ids and ids of each text of the mixture."""
+    ids = encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), name="ids")
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("encoding", encoding),
+]
+#: No stage but the second can be put as SQL: scores, sketches and seeded hashes.
 ORACLE_SQL = None
 
 

@@ -14,4 +14,19 @@ SELECT doc_id,
 FROM t WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1}
+OP9 = r"""
+WITH l AS (
+  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), k AS (
+  SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS key FROM l
+), spread AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 10
+), m AS (SELECT k.*, spread.key IS NOT NULL AS gone FROM k LEFT JOIN spread USING (key))
+SELECT doc_id, count(*) AS lines, count(*) FILTER (gone) AS removed_lines,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS clean_sha256
+FROM m GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op9_line_dedup": OP9}
