@@ -18,8 +18,8 @@ REJECTED_FROM = 0.5
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = train_toxicity(docs, labels)
-    return with_toxicity(docs, model, name="_score").where(F.col("_score") < REJECTED_FROM).drop("_score")
+    scored = with_toxicity(docs.select(F.struct("*").alias("doc"), "text"), train_toxicity(docs, labels))
+    return scored.where(F.col("score") < REJECTED_FROM).select("doc.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,6 +85,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         .where("group_size > 1")
     )
+    # written, so that the join below deals plain rows and a large group can be split
+    groups = written(groups, "groups")
     return recipes.join(groups, key, "left").select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
@@ -99,14 +101,16 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
 
     Rows with the same id and text count as one, of which one row stays.
     """
-    names = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    by_name = Window.partitionBy(id_col, "_text_sha").orderBy(F.lit(1))
+    names = kept.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    # the whole row in one column, so that no name of it meets those used here
+    rows = docs.select(F.struct("*").alias("doc"), F.sha2(normalised(text_col), 256).alias("text_sha"))
+    row_id = F.col("doc").getField(id_col)
+    by_name = Window.partitionBy(row_id, "text_sha").orderBy(F.lit(1))
     return (
-        docs.withColumn("_text_sha", F.sha2(normalised(text_col), 256))
-        .join(names, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha")), "left_semi")
-        .withColumn("_n", F.row_number().over(by_name))
-        .where("_n = 1")
-        .drop("_n", "_text_sha")
+        rows.join(names, row_id.eqNullSafe(F.col("id")) & (F.col("text_sha") == F.col("sha")), "left_semi")
+        .withColumn("n", F.row_number().over(by_name))
+        .where("n = 1")
+        .select("doc.*")
     )
 
 

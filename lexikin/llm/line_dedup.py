@@ -75,26 +75,21 @@ def without_spread_lines(
     # Which lines go depends on the text alone: copies share one list.
     refs = _lines(read).select("t1", "t2", "h1", "h2").distinct()
     gone = written(
-        refs.join(spread, ["h1", "h2"]).groupBy("t1", "t2").agg(F.collect_set("h1").alias("_gone")), "gone"
+        refs.join(spread, ["h1", "h2"]).groupBy("t1", "t2").agg(F.collect_set("h1").alias("gone")), "gone"
     )
+    # the whole row in one column, so that no name of it meets those used here
     t1, t2 = digest(text_or_empty(text_col))
-    rows = docs.drop("clean_text", "lines", "removed_lines").withColumns({"_t1": t1, "_t2": t2})
-    joined = rows.join(
-        gone.withColumnsRenamed({"t1": "_g1", "t2": "_g2"}),
-        (F.col("_t1") == F.col("_g1")) & (F.col("_t2") == F.col("_g2")),
-        "left",
-    )
-    lines = F.split(text_or_empty(text_col), "\n")
-    stays = lambda line: (_line_key(line) == "") | ~F.array_contains("_gone", F.xxhash64(_line_key(line)))
-    kept = F.when(F.col("_gone").isNull(), lines).otherwise(F.filter(lines, stays))
-    return (
-        joined.withColumn("_kept", kept)
-        .withColumns(
-            {
-                "lines": F.size(lines).cast("long"),
-                "removed_lines": (F.size(lines) - F.size("_kept")).cast("long"),
-                "clean_text": F.array_join("_kept", "\n"),
-            }
-        )
-        .drop("_kept", "_gone", "_t1", "_t2", "_g1", "_g2")
+    rows = docs.select(F.struct("*").alias("doc"), t1.alias("d1"), t2.alias("d2"))
+    joined = rows.join(gone, (F.col("d1") == F.col("t1")) & (F.col("d2") == F.col("t2")), "left")
+    lines = F.split(text_or_empty(F.col("doc").getField(text_col)), "\n")
+    stays = lambda line: (_line_key(line) == "") | ~F.array_contains("gone", F.xxhash64(_line_key(line)))
+    kept = F.when(F.col("gone").isNull(), lines).otherwise(F.filter(lines, stays))
+    made = {
+        "clean_text": F.array_join(kept, "\n"),
+        "lines": F.size(lines).cast("long"),
+        "removed_lines": (F.size(lines) - F.size(kept)).cast("long"),
+    }
+    return joined.select(
+        *(F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() not in made),
+        *(c.alias(name) for name, c in made.items()),
     )

@@ -143,11 +143,13 @@ def mixed_rows(
         .select(F.col("source").alias("_source"), "e.*")
     )
     ends = written(ends, "block_ends")
-    by_row = Window.partitionBy("source").orderBy("row_hash")
+    before_row = Window.partitionBy("source").orderBy("row_hash").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         last.withColumnRenamed("block", "_block").drop("block_hash")
         .join(_small(ends), same_source & (F.col("_block") == F.col("block")))
-        .withColumn("so_far", F.col("before") + F.sum("n_tokens").over(by_row) - F.col("n_tokens"))
+        .groupBy("source", "rest", "before", "row_hash")
+        .agg(F.sum("n_tokens").alias("n_tokens"))
+        .withColumn("so_far", F.col("before") + F.coalesce(F.sum("n_tokens").over(before_row), F.lit(0)))
         .where("so_far < rest")
         .groupBy("source")
         .agg(F.max("row_hash").alias("row_cut"))
@@ -163,33 +165,39 @@ def mixed_rows(
         "final_plan",
     )
 
-    id_, th = F.col(id_col), F.xxhash64(text)
+    # the whole row in one column, so that no name of it meets those used here
+    doc = F.col("doc")
+    id_, th = doc.getField(id_col), F.xxhash64(text_or_empty(doc.getField(text_col)))
     block = F.pmod(F.xxhash64(F.lit(seed + 1), id_, th), F.ceil(F.col("_rows") / BLOCK_ROWS)).cast("long")
-    block_order = lambda e: F.xxhash64(F.lit(seed + 2), e, F.col("mix_block"))
+    block_order = lambda e: F.xxhash64(F.lit(seed + 2), e, F.col("block"))
     row_order = lambda e: F.xxhash64(F.lit(seed), e, id_, th)
     at = block_order(F.col("_full"))
     more = (F.col("_rest") > 0) & (
         (at < F.col("_block_cut"))
-        | ((at == F.col("_block_cut")) & (F.col("mix_block") < F.col("_end")))
-        | ((F.col("mix_block") == F.col("_end")) & (row_order(F.col("_full")) <= F.col("_row_cut")))
+        | ((at == F.col("_block_cut")) & (F.col("block") < F.col("_end")))
+        | ((F.col("block") == F.col("_end")) & (row_order(F.col("_full")) <= F.col("_row_cut")))
     )
     passes = F.col("_full") + F.coalesce(more, F.lit(False)).cast("int")
-    mixed = (
-        docs.join(_small(plan), F.col(source_col).eqNullSafe(F.col("_source")))
-        .withColumn("mix_block", block)
-        .withColumn("_passes", passes)
-        .where("_passes > 0")
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("_passes") - 1)))
-        .withColumns(
-            {
-                "mix_block_order": block_order(F.col("mix_epoch")),
-                "mix_row_order": row_order(F.col("mix_epoch")),
-                "mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long"),
-                "mix_weight": F.col("_weight"),
-            }
-        )
+    taken = (
+        docs.select(F.struct("*").alias("doc"))
+        .join(_small(plan), doc.getField(source_col).eqNullSafe(F.col("_source")))
+        .withColumn("block", block)
+        .withColumn("passes", passes)
+        .where("passes > 0")
+        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
+    )
+    made = {
+        "mix_epoch": F.col("epoch"),
+        "mix_block": F.col("block"),
+        "mix_block_order": block_order(F.col("epoch")),
+        "mix_row_order": row_order(F.col("epoch")),
+        "mix_tokens": F.regexp_count(text_or_empty(doc.getField(text_col)), F.lit(WORD)).cast("long"),
+        "mix_weight": F.col("_weight"),
+    }
+    return taken.select(
+        *(doc.getField(c).alias(c) for c in docs.columns if c.lower() not in made),
+        *(c.alias(name) for name, c in made.items()),
     )
-    return mixed.drop("_source", "_rows", "_full", "_rest", "_weight", "_block_cut", "_end", "_row_cut", "_passes")
 
 
 def _small(plan: DataFrame, bound: int = 1_000_000) -> DataFrame:

@@ -1,0 +1,66 @@
+import random
+
+import public_tokenizers
+import sentencepiece
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from lexikin.llm import queries
+
+
+def corpus(folder, spark):
+    """Clean and toxic texts with exact and near copies, over two sources."""
+    random.seed(1)
+    plain = [f"calm{i}" for i in range(300)]
+    docs, labels = [], []
+    for i in range(240):
+        words = random.choices(plain, k=60)
+        toxic = i % 6 == 0
+        if toxic:
+            words[5] = "grumbleface"
+        docs.append((i, " ".join(words), "en", "a" if i % 5 else "b", None))
+        labels.append((i, 1, int(toxic)))
+    docs += [(1000 + i, docs[i][1].replace(" ", "\n", 1), "en", "a", None) for i in range(1, 40)]
+    docs += [(2000 + i, docs[i][1] + " more", "en", "a", None) for i in range(1, 40)]
+    docs += [(3000, None, None, None, None), (3001, "", "en", "b", 0), (None, "a text of nobody", "en", "b", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return docs
+
+
+def test_stages(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = corpus(folder, spark)
+    names = ["toxicity", "exact_dedup", "near_dedup", "mixing", "encoding"]
+    assert [n for n, _ in corpus_pipeline.STAGES] == names
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, folder)
+        assert out.columns == table.columns
+        out.write.parquet(f"{folder}/{name}")
+        table = spark.read.parquet(f"{folder}/{name}")
+        kept[name] = [r.doc_id for r in table.collect()]
+    clean = {d[0] for d in docs if "grumbleface" not in (d[1] or "")}
+    assert set(kept["toxicity"]) == clean and len(kept["toxicity"]) == len(clean)
+    once = clean - set(range(1000, 2000)) - {3001}
+    assert set(kept["exact_dedup"]) == once
+    assert set(kept["near_dedup"]) == once - set(range(2000, 3000))
+    assert set(kept["mixing"]) == set(kept["near_dedup"])
+    final = corpus_pipeline.run(spark, folder).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    text = {d[0]: d[1] for d in docs}
+    assert sorted(str(r.doc_id) for r in final) == sorted(map(str, kept["mixing"]))
+    assert all(r.ids == library.encode(text[r.doc_id] or "") and r.n_ids == len(r.ids) for r in final)
+
+
+def test_queries_read_whole_tables(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = corpus(folder, spark)
+    scored = queries.op4_toxicity(spark, folder).collect()
+    assert len(scored) == len(docs) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in scored)
+    held = [r for r in scored if r.held_out and r.doc_id < 240]
+    assert sum(r.predicted == (r.doc_id % 6 == 0) for r in held) >= 0.95 * len(held)
+    assert queries.op6_sharding(spark, folder).agg(F.countDistinct("shard")).first()[0] == 16
+    assert queries.op8_pieces(spark, folder).count() == len(docs)
+    assert queries.op10_token_files(spark, folder).count() == len(docs)
