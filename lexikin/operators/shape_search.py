@@ -45,7 +45,6 @@ class SearchPlan:
     """Physical choices of a search; none of them changes the result."""
 
     broadcast_queries: int = 20_000
-    broadcast_hits: int = 200_000
     tile_rows: int = 50_000
     floors_from: int = 32
     words_per_half: int = 16
@@ -153,11 +152,12 @@ def score_floors(
     near = near.where(
         (gap <= params.max_len_diff) & (char_ratio("a_", "b_") >= params.min_char_ratio)
     )
+    # a pair met by several keys is scored once
+    near = near.dropDuplicates(["a_word", "a_stem", "b_word", "b_stem"])
     scored = score_pairs(near, model, params).where(F.col("score") > params.min_score)
     order = Window.partitionBy("a_word", "a_stem").orderBy(F.desc("score"))
     return (
-        scored.select("a_word", "a_stem", "b_word", "b_stem", "score")
-        .distinct()
+        scored.select("a_word", "a_stem", "score")
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") == k)
         .select("a_word", "a_stem", F.col("score").alias("floor"))
@@ -184,18 +184,17 @@ def _tiles(rows: int, tile_rows: int) -> int:
     return max(1, -(-rows // tile_rows))
 
 
-def _tiled_join(a: DataFrame, b: DataFrame, keep: Column, params: ShapeParams, tile_rows: int):
+def _largest_length(side: DataFrame, prefix: str) -> int:
+    """The number of words of the commonest length."""
+    return side.groupBy(f"{prefix}len").count().agg(F.max("count")).first()[0] or 0
+
+
+def _tiled_join(a: DataFrame, b: DataFrame, keep: Column, params: ShapeParams, ta: int, tb: int):
     """Join two signed word tables within the length band, tile by tile.
 
     Words of one length are spread over tiles by hash, so the largest task compares
     two tiles, whatever the share of the commonest length.
     """
-    largest = [
-        side.groupBy(f"{p}len").count().agg(F.max("count")).first()[0] or 0
-        for side, p in ((a, "a_"), (b, "b_"))
-    ]
-    ta, tb = (_tiles(n, tile_rows) for n in largest)
-
     def spread(side: DataFrame, own: str, other: str, own_tiles: int, other_tiles: int):
         tile = F.pmod(F.xxhash64(f"{own}word"), F.lit(own_tiles))
         return (
@@ -274,7 +273,7 @@ def hits_by_word(
         b = _side(_leading_rows(dictionary, k), "b_", "rows")
         rows = [F.explode("b_rows").alias("b_idx")]
 
-    a = _side(words, "a_")
+    a = signed = _side(words, "a_")
     floor = F.lit(params.min_score)
     if n is None or n >= plan.floors_from:
         floors = score_floors(a, b, model, k, params, plan, broadcast=few)
@@ -290,7 +289,9 @@ def hits_by_word(
         probes = a.withColumn("band", F.explode(_band("a_len", params.max_len_diff)))
         pairs = b.join(F.broadcast(probes), (F.col("b_len") == F.col("band")) & keep)
     else:
-        pairs = _tiled_join(a, b, keep, params, plan.tile_rows)
+        # tiles are counted on the words, not on a plan that would compute the floors
+        tiles = _largest_length(signed, "a_"), _largest_length(b, "b_")
+        pairs = _tiled_join(a, b, keep, params, *(_tiles(n, plan.tile_rows) for n in tiles))
 
     scored = _scored_candidates(pairs, model, params)
     scored = scored.select("a_word", "a_stem", "b_word", "b_len", *rows, "score")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,8 +17,8 @@ from lexikin.operators.encode import meaning_vectors, shape_vectors
 from lexikin.operators.model import evaluate_pairs, train_shape_model
 from lexikin.operators.preprocess import tokenize_meaning, with_lemma
 from lexikin.operators.scoring import FixedLogit, pair_probability, score_pairs
-from lexikin.operators.semantic_search import similar_semantic
-from lexikin.operators.shape_search import candidate_pairs, similar_shape
+from lexikin.operators.semantic_search import SemanticPlan, similar_semantic
+from lexikin.operators.shape_search import SearchPlan, candidate_pairs, similar_shape
 from lexikin.params import ShapeParams
 from lexikin.plans.batch import build_similarity_table, similar_both
 from lexikin.sources.dictionary import read_dictionary, write_results
@@ -31,6 +30,7 @@ from lexikin.sources.views import (
     with_stems,
     word_counts,
 )
+from lexikin.storage import scratch_folder
 from lexikin.streaming.lookup import stream_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A logistic model that stands in for a fitted one where results are checked.
 LOGIT = FixedLogit([3.0, 6.0, 2.0, 1.0, 1.0, 5.0, 1.0], -9.0)
 K = 5
+# The plans of large query tables, whatever the size.
+TILES = SearchPlan(broadcast_queries=0, tile_rows=2_000)
+BLOCKS = SemanticPlan(broadcast_queries=0, block_rows=1_024)
 
 
 def rounded(col: str) -> Column:
@@ -102,7 +105,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_api(spark: SparkSession, sf: str) -> DataFrame:
-    """The form for pairs without signatures: each part's words against its brand's words."""
+    """The form for pairs without signatures: the first two words of each part's name."""
     parts = table(spark, sf, "part").select(F.split("p_name", " ").alias("w")).distinct()
     named = parts.select(F.col("w")[0].alias("a_word"), F.col("w")[1].alias("b_word"))
     named = named.withColumns({"a_stem": F.col("a_word"), "b_stem": F.col("b_word")})
@@ -170,6 +173,17 @@ def lookalikes(spark: SparkSession, sf: str) -> DataFrame:
     return _lookalikes(words, words)
 
 
+def lookalikes_in_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``lookalikes``, by the plan of large query tables."""
+    words = _benchmark(spark, sf)
+    return _lookalikes(words, words, plan=TILES)
+
+
+def lookalikes_lcs_in_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    words = _benchmark(spark, sf)
+    return _lookalikes(words, words, params=ShapeParams(f2_mode="lcs_ratio"), plan=TILES)
+
+
 def lookalikes_lcs(spark: SparkSession, sf: str) -> DataFrame:
     words = _benchmark(spark, sf)
     return _lookalikes(words, words, params=ShapeParams(f2_mode="lcs_ratio"))
@@ -206,27 +220,32 @@ def meaning_pair_scores(spark: SparkSession, sf: str) -> DataFrame:
     return semantic_pair_score(a.join(b, "a_id")).select("a_id", "b_id", rounded("score"))
 
 
-def _synonyms(metric: str) -> Query:
+def _synonyms(metric: str, plan: SemanticPlan = SemanticPlan()) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         rows = vector_dictionary(spark, sf)
         asked = rows.select(F.col("idx").alias("qid"), "meaning", "vec")
-        return similar_semantic(asked, rows, K, metric).select(
+        return similar_semantic(asked, rows, K, metric, plan).select(
             "qid", F.col("rank").cast("long").alias("rank"), "idx", "word", "meaning", rounded("score")
         )
 
     return query
 
 
-def _both(spark: SparkSession, sf: str) -> DataFrame:
+def _both(spark: SparkSession, sf: str, **plans) -> DataFrame:
     rows = vector_dictionary(spark, sf)
-    return similar_both(rows.withColumnRenamed("idx", "qid"), rows, LOGIT, K)
+    return similar_both(rows.withColumnRenamed("idx", "qid"), rows, LOGIT, K, **plans)
+
 
+def both_large(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``both``, by the plans of large query tables."""
+    return both(spark, sf, shape_plan=TILES, semantic_plan=BLOCKS)
 
-def both(spark: SparkSession, sf: str) -> DataFrame:
+
+def both(spark: SparkSession, sf: str, **plans) -> DataFrame:
     def places(col: str) -> Column:
         return F.array_join(F.transform(F.col(col), lambda h: h["idx"].cast("string")), ",")
 
-    return _both(spark, sf).select(
+    return _both(spark, sf, **plans).select(
         "qid", "word", "meaning",
         places("shape_results").alias("shape"), places("semantic_results").alias("semantic"),
     )
@@ -248,7 +267,7 @@ def stream(spark: SparkSession, sf: str) -> DataFrame:
     asked = asked.select(
         F.xxhash64("word").alias("qid"), "word", F.lit("").alias("meaning")
     ).dropDuplicates(["word"])
-    folder = tempfile.mkdtemp(prefix="lexikin-stream-")
+    folder = scratch_folder(spark, "stream")
     stream_lookup(
         asked, _benchmark(spark, sf), f"{folder}/out", f"{folder}/state", LOGIT, K
     ).awaitTermination()
@@ -261,7 +280,7 @@ def stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """The document dictionary written as CSV and read back by the dictionary reader."""
-    folder = tempfile.mkdtemp(prefix="lexikin-csv-")
+    folder = scratch_folder(spark, "csv")
     document_dictionary(spark, sf).select("word", "meaning").write.option("header", True).option(
         "escape", '"'
     ).mode("overwrite").csv(folder)
@@ -306,7 +325,7 @@ def similarity_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def result_file(spark: SparkSession, sf: str) -> DataFrame:
     """The result table as written to CSV."""
-    folder = tempfile.mkdtemp(prefix="lexikin-result-")
+    folder = scratch_folder(spark, "result")
     write_results(similarity_table(spark, sf), folder)
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(folder)
 
@@ -331,12 +350,16 @@ QUERIES: dict[str, Query] = {
     "evaluate_fixed": evaluation,
     "similar_shape_fixed": lookalikes,
     "similar_shape_lcs": lookalikes_lcs,
+    "similar_shape_tiles": lookalikes_in_tiles,
+    "similar_shape_lcs_tiles": lookalikes_lcs_in_tiles,
     "similar_shape_documents": lookalikes_in_documents,
     "similar_shape_few": lookalikes_of_part_words,
     "vector_similarity": vector_scores,
     "semantic_pair_score": meaning_pair_scores,
     **{f"similar_semantic_{m}": _synonyms(m) for m in METRICS},
+    **{f"similar_semantic_blocks_{m}": _synonyms(m, BLOCKS) for m in METRICS},
     "similar_both": both,
+    "similar_both_large": both_large,
     "format_hits": hit_lines,
     "stream_lookup": stream,
     "read_dictionary": csv_round_trip,

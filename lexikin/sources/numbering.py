@@ -9,6 +9,36 @@ from lexikin.storage import durable
 SHIFT = 33
 
 
+def with_file_index(df: DataFrame, name: str = "idx") -> DataFrame:
+    """Number the rows of a file scan 0..n-1 by file path, then by place in the file.
+
+    Spark packs files and splits into partitions by size, so partitions don't follow file
+    order; a split's rows do. There is one base per split, and the rows don't move.
+    """
+    split = ["_path", "_start"]
+    placed = durable(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_at"),
+        )
+    )
+    sizes = placed.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first")).collect()
+    bases, total = [], 0
+    for row in sorted(sizes, key=lambda r: (r["_path"], r["_start"])):
+        bases.append((row["_path"], row["_start"], total - row["first"]))
+        total += row["n"]
+    if not bases:
+        return placed.withColumn(name, F.col("_at")).drop("_at", *split)
+    table = df.sparkSession.createDataFrame(bases, "_path string, _start long, _base long")
+    return (
+        placed.join(F.broadcast(table), split)
+        .withColumn(name, F.col("_base") + F.col("_at"))
+        .drop("_at", "_base", *split)
+    )
+
+
 def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str = "idx") -> DataFrame:
     """Number the rows 0..n-1, in the given order or else in file order.
 

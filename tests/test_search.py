@@ -8,7 +8,7 @@ import plain
 from lexikin.functions.stemming import stem_word
 from lexikin.operators.attach import attach_by_key
 from lexikin.operators.scoring import FixedLogit
-from lexikin.operators.semantic_search import SemanticPlan, similar_semantic
+from lexikin.operators.semantic_search import SemanticPlan, nearest_rows, similar_semantic
 from lexikin.operators.shape_search import SearchPlan, candidate_pairs, similar_shape
 from lexikin.params import ShapeParams
 
@@ -120,6 +120,18 @@ def test_synonyms_equal_brute_force(spark, metric, plan):
         assert [x for _, x in got[i]] == pytest.approx(s[want], abs=1e-8)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean", "manhattan"])
+def test_blocks_lose_no_hit_far_from_zero(spark, metric):
+    rng = np.random.default_rng(9)
+    vectors = 1e6 + rng.normal(size=(240, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "idx long, vec array<double>")
+    asked = rows.select(F.col("idx").alias("qid"), "vec")
+    scan = nearest_rows(asked, rows, 5, metric).collect()
+    plan = SemanticPlan(broadcast_queries=3, block_rows=50, pivots=32)
+    blocks = nearest_rows(asked, rows, 5, metric, plan).collect()
+    assert sorted(map(tuple, scan)) == sorted(map(tuple, blocks)) and len(scan) == 1200
+
+
 def test_unknown_metric(spark):
     empty = spark.createDataFrame([], "qid long, meaning string, vec array<double>")
     with pytest.raises(ValueError):

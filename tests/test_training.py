@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -27,12 +28,14 @@ def frame(spark, words):
 
 def test_positive_pairs(frame, words, monkeypatch):
     monkeypatch.setattr(pairs, "BLOCK_ROWS", 64)
-    want = set()
-    for i, a in enumerate(words):
-        for j in range(i + 1, min(i + 50, len(words))):
-            f = plain.features(a, words[j], stem_word(a), stem_word(words[j]))
-            if abs(len(a) - len(words[j])) <= 3 and f[1] > 0.6 and f[5] > 0.5:
-                want.add((i, j))
+    near = [p for p in itertools.combinations(enumerate(words), 2) if 1 <= p[1][0] - p[0][0] <= 49]
+    want = {
+        (i, j)
+        for (i, a), (j, b) in near
+        if abs(len(a) - len(b)) <= 3
+        and (f := plain.features(a, b, stem_word(a), stem_word(b)))[1] > 0.6
+        and f[5] > 0.5
+    }
     got = pairs.positive_pairs(frame).collect()
     assert len(got) == len(want) and {(r.a_idx, r.b_idx) for r in got} == want
     r = got[0]
