@@ -50,13 +50,19 @@ def document_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``idx, word, stem, meaning, vec``: each embedding with the headword of its document
-    (none where there is no such document) and a meaning its group shares."""
+    """``idx, word, stem, meaning, vec``: each document's headword and each embedding.
+
+    Rows meet by number; the meaning is one that the embedding's group shares. A document
+    without an embedding has no vector and no meaning, an embedding without a document no
+    word.
+    """
     words = document_dictionary(spark, sf_dir).select("idx", "word")
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("idx"),
         F.concat(F.lit("m"), F.col("label").cast("string")).alias("meaning"),
         F.col("embedding").cast("array<double>").alias("vec"),
     )
-    named = vectors.join(words, "idx", "left").withColumn("word", F.coalesce("word", F.lit("")))
+    named = vectors.join(words, "idx", "full").withColumns(
+        {"word": F.coalesce("word", F.lit("")), "meaning": F.coalesce("meaning", F.lit(""))}
+    )
     return with_stems(named).select("idx", "word", "stem", "meaning", "vec")

@@ -224,8 +224,9 @@ HEADWORD = (
 )
 ROWS = (
     f"named AS (SELECT doc_id AS idx, {HEADWORD} AS word FROM documents), "
-    "plain AS (SELECT vec_id AS idx, coalesce(word, '') AS word, concat('m', label) AS meaning, "
-    "CAST(embedding AS DOUBLE[]) AS vec FROM embeddings LEFT JOIN named ON vec_id = idx)"
+    "plain AS (SELECT coalesce(vec_id, idx) AS idx, coalesce(word, '') AS word, "
+    "CASE WHEN vec_id IS NULL THEN '' ELSE concat('m', label) END AS meaning, "
+    "CAST(embedding AS DOUBLE[]) AS vec FROM embeddings FULL JOIN named ON vec_id = idx)"
 )
 
 
@@ -242,7 +243,8 @@ def _near_vectors(metric: str) -> str:
     """CTEs ending in ``near_v(qid, rank, idx, word, meaning, score)``."""
     return (
         f"pair_v AS (SELECT a.idx AS qid, a.meaning AS asked, b.idx, b.word, b.meaning, "
-        f"round({_similarity(metric, 'a.vec', 'b.vec')}, 10) AS score FROM plain a, plain b), "
+        f"round({_similarity(metric, 'a.vec', 'b.vec')}, 10) AS score FROM plain a, plain b "
+        "WHERE a.vec IS NOT NULL AND b.vec IS NOT NULL), "
         "cut_v AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, idx DESC) AS rank "
         f"FROM pair_v QUALIFY rank <= {K}), "
         "near_v AS (SELECT qid, rank, idx, word, meaning, score FROM cut_v WHERE rank = 1 OR meaning <> asked)"
