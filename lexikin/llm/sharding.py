@@ -16,12 +16,14 @@ def interleaved_shards(
     source_col: str = "source",
 ) -> DataFrame:
     """Proportional stratified interleaving: doc_id, source, size, text_crc32, rank,
-    source_rows, shard, slot.
+    source_rows, fraction, shard, slot.
 
     Rows of a source stand in the order of a seeded hash and have the fractional rank
-    (rank + 0.5) / rows of the source. All rows sorted by fractional rank are cut into
-    ``shards`` runs whose counts differ by one at most, so a shard holds its share of
-    every source, to within one row. ``slot`` is the place in the shard, from 0.
+    (rank + u) / rows of the source, where u is a hash of the source in (0, 1): else the
+    rows of all sources with one row would meet in the middle. All rows sorted by
+    fractional rank are cut into ``shards`` runs whose counts differ by one at most. So a
+    shard holds its share of a source to within 1 + share * number of sources rows, and
+    mostly to within one. ``slot`` is the place in the shard, from 0.
 
     ``size`` is the text's UTF-8 bytes plus 1. Null texts count as empty, null sources
     as one source, null ids come first among equal hashes. Repeated rows each get a
@@ -44,9 +46,10 @@ def interleaved_shards(
     joined = by_source.join(
         sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     ).withColumn("rank", F.col("place") - F.col("first"))
+    offset = (F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.lit(1 << 20)) + 0.5) / (1 << 20)
     interleaved = ranked(
         joined.select("doc_id", "source", "size", "text_crc32", "rank", "source_rows").withColumn(
-            "fraction", (F.col("rank") + 0.5) / F.col("source_rows")
+            "fraction", (F.col("rank") + offset) / F.col("source_rows")
         ),
         [F.col("fraction"), F.col("source"), F.col("rank")],
         "position",
@@ -65,5 +68,5 @@ def interleaved_shards(
     return (
         interleaved.withColumn("shard", shard)
         .withColumn("slot", (p - start).cast("long"))
-        .drop("position", "fraction")
+        .drop("position")
     )

@@ -19,16 +19,24 @@ def test_shards_match_the_mixture(docs_of, odd_rows):
         assert sorted(r.slot for r in own) == list(range(len(own)))
     for source, n in Counter(s for _, _, s in rows).items():
         for own in shards.values():
-            assert abs(sum(r.source == source for r in own) - n / 6) <= 1 + 1e-9
+            sources = len({s for _, _, s in rows})
+            assert abs(sum(r.source == source for r in own) - n / 6) <= 1 + n / len(rows) * sources
 
 
 def test_plan_by_hand(docs_of):
     rows = [(i, str(i), "ab"[i % 3 == 0]) for i in range(10)]
     got = interleaved_shards(docs_of(rows), shards=4).collect()
-    order = sorted(got, key=lambda r: ((r["rank"] + 0.5) / r.source_rows, r.source, r["rank"]))
+    order = sorted(got, key=lambda r: (r.fraction, r.source, r["rank"]))
+    assert all(r["rank"] < r.fraction * r.source_rows < r["rank"] + 1 for r in got)
     assert [(r.shard, r.slot) for r in order] == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (3, 0), (3, 1)]
 
 
+def test_many_small_sources_are_spread(docs_of):
+    got = interleaved_shards(docs_of([(i, str(i), f"s{i}") for i in range(400)]), shards=4).collect()
+    assert Counter(r.shard for r in got) == {s: 100 for s in range(4)}
+    assert len({r.fraction for r in got}) > 390
+
+
 def test_few_rows(docs_of):
     docs = docs_of([(1, None, None), (2, "a", None)])
     assert sorted(r.shard for r in interleaved_shards(docs, shards=16).collect()) == [0, 1]
