@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -25,12 +27,36 @@ SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 CACHED = 1 << 20
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letters that stand for bytes in a byte-level vocabulary.
+
+    Printable Latin-1 bytes stand for themselves, the others for letters from 256 on.
+    """
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class Known(dict):
+    """Ids of words met lately; a new word is looked up on first use."""
+
+    def __init__(self, ids_of):
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.ids_of(word)
+        return ids
+
+
 class Encoder:
-    """Library encodings of texts, one library call per new segment.
+    """Library encodings of texts, one library call per new word.
 
     The pattern of a byte-level tokenizer never matches across the start of a
-    white-space run, so a text may be cut there and the ids of the segments joined.
-    A text that names an added token is encoded in one piece.
+    white-space run, so a text may be cut there and the ids of the parts joined. A run of
+    letters with ASCII punctuation after it is cut between the two as well; then the
+    library's model is called without its splitting. All else, and all of a tokenizer
+    that isn't byte-level, goes through the whole library; a text that names an added
+    token does so in one piece.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -38,30 +64,57 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype(dtype)
+        self.code = np.dtype(dtype).char
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        before = made["pre_tokenizer"] or {}
+        self.by_space = before.get("type") == "ByteLevel" and not before["add_prefix_space"] and not made["normalizer"]
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        #: ids of parts as they are, of words that a space goes before, of punctuation
+        self.plain = Known(lambda part: self._whole([part])[0])
+        self.spaced = Known(self._spaced)
+        self.marks = Known(lambda mark: self._whole([mark])[0])
+        self.marks[""] = b""
+        self.line_end = self.marks["\n"]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, self.dtype).tobytes() for e in found]
-
-    def _segments(self, text: str) -> list[str]:
-        if UNEVEN.search(text):
-            return SEGMENT.findall(text)
-        first, *rest = text.split(" ")
-        cut = [" " + w for w in rest]
-        return [first, *cut] if first else cut
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _word(self, space: str, word: str) -> bytes | None:
+        """The ids of letters with punctuation after them, or None for other words."""
+        core = word.rstrip(string.punctuation)
+        if not core.isalpha():
+            return None
+        mark = word[len(core) :]
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(space + core)]).tobytes() + self.marks[mark]
+
+    def _spaced(self, word: str) -> bytes:
+        """The ids of a space and a word, which may hold single line ends."""
+        if "\n" not in word:
+            ids = self._word("Ġ", word)
+            return self._whole([" " + word])[0] if ids is None else ids
+        first, *more = word.split("\n")
+        found = [self._word("Ġ", first), *(self._word("", w) for w in more)]
+        return self._whole([" " + word])[0] if None in found else self.line_end.join(found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        cut = [None if i in whole else self._segments(t) for i, t in enumerate(texts)]
-        if len(self.known) > CACHED:
-            self.known.clear()
-        new = list({s for c in cut if c for s in c if s not in self.known})
-        self.known.update(zip(new, self._whole(new), strict=True))
-        get = self.known.__getitem__
-        return [self._whole([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
+        if len(self.plain) + len(self.spaced) > CACHED:
+            self.plain.clear()
+            self.spaced.clear()
+        plain, spaced, out = self.plain.__getitem__, self.spaced.__getitem__, []
+        for text in texts:
+            if not self.by_space or any(a in text for a in self.added):
+                out.append(self._whole([text])[0])
+            elif UNEVEN.search(text):
+                out.append(b"".join(map(plain, SEGMENT.findall(text))))
+            else:
+                first, *words = text.split(" ")
+                out.append(plain(first) + b"".join(map(spaced, words)))
+        return out
 
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
