@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
-from lexikin.functions.stemming import (
-    ADJECTIVES,
-    DOUBLE_SUFFIXES,
-    ENDINGS,
-    IRREGULAR,
-    PLURALS,
-    RESTORED,
-)
-from lexikin.functions.text import STOP_TOKENS
-from lexikin.operators.pairs import PRIME
-from lexikin.operators.preprocess import NOUN_ENDINGS
-from lexikin.plans.catalog import K, LOGIT
-
+# Fixed values, written out here again so that the SQL shares none with the code it checks.
+# Porter's suffix rules with the common extensions:
+IRREGULAR = {
+    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed",
+    "exceed": "exceed", "succeed": "succeed",
+}
+PLURALS = [("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")]
+RESTORED = [("at", "ate"), ("bl", "ble"), ("iz", "ize")]
+DOUBLE_SUFFIXES = [
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+    ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+    ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
+    ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+    ("fulli", "ful"), ("logi", "log"),
+]
+ADJECTIVES = [
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""),
+]
+ENDINGS = [
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment",
+    "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
+]
+# Endings of plural nouns and of their singulars:
+NOUN_ENDINGS = [
+    ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
+    ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
+]
+# Tokens dropped after segmentation, the modulus of the draws, hits per query:
+STOP_TOKENS = ["的", "了", "和", "与", "或", "一个", "一种", "这个", "那个"]
+PRIME = 2147483647
+K = 5
+# The logistic model of the checked queries: weights of f1 to f7, and intercept.
+WEIGHTS, INTERCEPT = [3.0, 6.0, 2.0, 1.0, 1.0, 5.0, 1.0], -9.0
+# Characters outside what a cleaned meaning keeps:
 KEPT = "[^一-龥a-zA-Z0-9，,。？?！!；;]"
 
 
@@ -182,7 +205,7 @@ ALL = {"f1": F1, "f2": F2, "f3": F3, "f4": F4, "f5": F5, "f6": F6, "f7": F7}
 FEATURE_COLUMNS = ", ".join(f"{e} AS {n}" for n, e in ALL.items())
 ROUNDED = ", ".join(f"round({n}, 6) AS {n}" for n in ALL)
 
-_Z = " + ".join([str(LOGIT.intercept), *[f"{w} * f{i + 1}" for i, w in enumerate(LOGIT.coefficients)]])
+_Z = " + ".join([str(INTERCEPT), *[f"{w} * f{i + 1}" for i, w in enumerate(WEIGHTS)]])
 PROB = f"1.0 / (1.0 + exp(-({_Z})))"
 
 
