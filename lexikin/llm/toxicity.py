@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lexikin.llm.common import text_or_empty
@@ -117,32 +118,36 @@ def _association(sample: DataFrame, least: int, features: int) -> list[str]:
     return [r["feature"] for r in counted.orderBy(F.desc("z"), "feature").limit(features).collect()]
 
 
-def _fit(
-    x: list[list[int]], twin: list[list[int]], y: np.ndarray, width: int, swap: float, ridge: float, steps: int
-) -> tuple[np.ndarray, float]:
-    """Logistic regression with a penalty on the score change of each text's twin.
+class Lists:
+    """Lists of feature numbers, end to end, with the row of each."""
 
-    Minimises mean log loss + swap * mean (z - z_twin)^2 + ridge * |w|^2 by Adam.
-    """
+    def __init__(self, column: pa.ListArray):
+        self.lengths = np.diff(column.offsets.to_numpy()).astype(np.int64)
+        self.rows = np.repeat(np.arange(len(column), dtype=np.int32), self.lengths)
+        self.items = column.flatten().to_numpy().astype(np.int32)
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, weights[self.items], len(self.lengths))
+
+    def back(self, values: np.ndarray, width: int) -> np.ndarray:
+        return np.bincount(self.items, values[self.rows], width)
 
-    def rows(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
-        return at, np.fromiter((i for v in lists for i in v), np.int64, len(at))
 
+def _fit(x: Lists, own: Lists, twin: Lists, y: np.ndarray, width: int, swap: float, ridge: float, steps: int):
+    """Logistic regression with a penalty on the score changes of swapped texts.
+
+    Minimises mean log loss + swap * sum (z_own - z_twin)^2 / n + ridge * |w|^2 by Adam;
+    ``own`` and ``twin`` hold the texts that have identity terms, before and after the swap.
+    """
     n = len(y)
-    r, c = rows(x)
-    other = [i for i in range(n) if x[i] != twin[i]]
-    dr, dc = rows([x[i] for i in other])
-    er, ec = rows([twin[i] for i in other])
     w, bias = np.zeros(width), 0.0
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
-        z = bias + np.bincount(r, w[c], n)
-        g = (1 / (1 + np.exp(-z)) - y) / n
-        grad = np.bincount(c, g[r], width) + 2 * ridge * w
-        if other:
-            gap = np.bincount(dr, w[dc], len(other)) - np.bincount(er, w[ec], len(other))
-            grad += 2 * swap / n * (np.bincount(dc, gap[dr], width) - np.bincount(ec, gap[er], width))
+        g = (1 / (1 + np.exp(-bias - x.sums(w))) - y) / n
+        grad = x.back(g, width) + 2 * ridge * w
+        if len(own.lengths):
+            gap = own.sums(w) - twin.sums(w)
+            grad += 2 * swap / n * (own.back(gap, width) - twin.back(gap, width))
         full = np.append(grad, g.sum())
         m, v = 0.9 * m + 0.1 * full, 0.999 * v + 0.001 * full**2
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
@@ -154,10 +159,10 @@ def train_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     most: int = 20_000,
-    features: int = 8_192,
+    features: int = 4_096,
     least: int = 4,
     swap: float = 1.0,
-    ridge: float = 1e-4,
+    ridge: float = 1e-5,
     steps: int = 400,
     groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
     id_col: str = "doc_id",
@@ -182,21 +187,26 @@ def train_toxicity(
 
         for batch in batches:
             words = [words_of(t) for t in batch.text]
+            x = [places(w) for w in words]
+            twin = [places(swapped(w, groups)) for w in words]
             yield pd.DataFrame(
                 {
                     "toxic": batch.toxic,
-                    "x": [places(w) for w in words],
-                    "twin": [places(swapped(w, groups)) for w in words],
+                    "x": x,
+                    "twin": [None if a == b else b for a, b in zip(x, twin, strict=True)],
                 }
             )
 
-    rows = sample.mapInPandas(vectors, "toxic int, x array<int>, twin array<int>").collect()
-    rows.sort(key=lambda r: (r["toxic"], r["x"], r["twin"]))
-    y = np.asarray([r["toxic"] for r in rows], float)
+    # a bounded sample of short lists; sorted, so that sums have one order
+    found = sample.mapInPandas(vectors, "toxic int, x array<int>, twin array<int>")
+    rows = found.orderBy("toxic", "x", "twin").toArrow().combine_chunks()
+    y = rows["toxic"].to_numpy().astype(float)
     share = float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
         return ToxicityModel((), np.zeros(0), 40.0 if share else -40.0)
-    w, bias = _fit([r["x"] for r in rows], [r["twin"] for r in rows], y, len(names), swap, ridge, steps)
+    swapped_rows = rows.filter(rows["twin"].is_valid()).combine_chunks()
+    x, own, twin = (Lists(t[c].combine_chunks()) for t, c in ((rows, "x"), (swapped_rows, "x"), (swapped_rows, "twin")))
+    w, bias = _fit(x, own, twin, y, len(names), swap, ridge, steps)
     return ToxicityModel(tuple(names), w, bias)
 
 
