@@ -153,7 +153,7 @@ def write_token_files(
     """Encode all texts into a folder of flat files; returns the folder.
 
     Part ``k`` holds the documents of the k-th range of ids, in ascending order of id
-    (null ids first, equal ids by text): ``ids-k.bin`` has their token ids one after
+    (null ids first, equal ids by a hash of the text): ``ids-k.bin`` has their token ids one after
     the other, as little-endian unsigned integers of 16 bits if the vocabulary fits,
     else 32; ``offsets-k.bin`` has the 64-bit start of each document in the part and
     the part's end; ``docs-k.bin`` the 64-bit document ids and ``nulls-k.bin`` a byte
@@ -198,8 +198,11 @@ def write_token_files(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+    # ranges and their samples are of ids and hashes, not of texts
+    ranges = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash")
     parts = (
-        rows.orderBy("doc_id", "text")
+        ranges.sortWithinPartitions("doc_id", "hash", "text")
+        .select("doc_id", "text")
         .mapInArrow(write, "part long, docs long, tokens long")
         .collect()
     )
