@@ -18,7 +18,9 @@ from lexikin.llm.graph import components
 #: probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-6.
 ROWS, BANDS = 6, 45
 TOGETHER = 256
-CACHED = 1 << 20
+#: So many classes outside a group's largest component are checked pair by pair.
+FEW = 16
+CACHED = 1 << 17
 EMPTY = np.uint64(2**64 - 1)
 U = np.uint64
 
@@ -155,6 +157,83 @@ def _similarities(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     return written(sides.mapInPandas(run, "lo long, hi long, both long, either long"), "similarities")
 
 
+def _block_links(size: int, percent: int):
+    """Links between two blocks of classes, one for each two components that have some."""
+
+    def run(few: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
+        known, open_, out = Words(), zstandard.ZstdDecompressor(), {}
+        if len(few) and len(rest):
+            sets = [shingles(open_.decompress(p).split(), size, known) for p in few.packed_]
+            lengths, nodes, roots = np.array([len(s) for s in sets]), few.node_.to_numpy(), few.root_.to_numpy()
+            items, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
+            order = np.argsort(items, kind="stable")
+            items, owner = items[order], owner[order]
+            for node, root, packed in zip(rest.node, rest.root, rest.packed, strict=True):
+                own = shingles(open_.decompress(packed).split(), size, known)
+                first, last = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
+                n = last - first
+                at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(sets))
+                good = (100 * both >= percent * (lengths + len(own) - both)) & (roots != root)
+                for i in np.nonzero(good)[0].tolist():
+                    out.setdefault((roots[i], root), (min(nodes[i], node), max(nodes[i], node)))
+        return pd.DataFrame(list(out.values()), columns=["lo", "hi"]).astype("int64")
+
+    return run
+
+
+def _between_components(
+    met: DataFrame, roots: DataFrame, packed: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """lo, hi: links between classes that met the same class (lead, node, d) but are in
+    different components.
+
+    In each group, the classes outside its largest component (the few) are checked with
+    all others. Up to FEW of them make pairs, at most FEW for each class of the group,
+    less those that sizes or the triangle inequality of the Jaccard distance rule out.
+    Beyond, blocks of the few meet blocks of the group, and only links come out.
+    """
+    placed = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = (
+        placed.groupBy("lead", "root")
+        .agg(F.count("*").alias("c"))
+        .groupBy("lead")
+        .agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"))
+        .select("lead", F.col("m.root").alias("major"), "all", (F.col("all") - F.col("m.c")).alias("few"))
+        .where("few > 0")
+    )
+    placed = written(placed.join(groups, "lead"), "placed")
+    others = placed.where("root <> major")
+
+    pairs = (
+        others.where(F.col("few") <= FEW)
+        .select("lead", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "d")))
+        .join(placed.where(F.col("few") <= FEW), "lead")
+        .where("root <> _root AND (root = major OR node < _node)")
+        .where(F.abs(F.col("d") - F.col("_d")) <= 1 - percent / 100 + 1e-9)
+        .select(F.least("node", "_node").alias("lo"), F.greatest("node", "_node").alias("hi"))
+        .distinct()
+    )
+    linked = F.col("both") * 100 >= F.col("either") * percent
+    links = _similarities(pairs, packed, size).where(linked).select("lo", "hi")
+
+    f_cuts, a_cuts = F.ceil(F.col("few") / 128).cast("int"), F.ceil(F.col("all") / 256).cast("int")
+    cut = lambda cuts: F.pmod(F.xxhash64("node"), cuts).cast("int")
+    every = lambda cuts: F.explode(F.sequence(F.lit(0), cuts - 1))
+    side = lambda df: df.where(F.col("few") > FEW).join(packed, "node")
+    key = ["lead", "f", "a"]
+    left = side(others).withColumn("f", cut(f_cuts)).withColumn("a", every(a_cuts))
+    right = side(placed).withColumn("a", cut(a_cuts)).withColumn("f", every(f_cuts))
+    columns = [*key, "node", "root", "packed"]
+    blocks = (
+        left.select(*(F.col(c).alias(f"{c}_") for c in columns))
+        .groupBy(*(f"{c}_" for c in key))
+        .cogroup(right.select(columns).groupBy(*key))
+        .applyInPandas(_block_links(size, percent), "lo long, hi long")
+    )
+    return links.union(blocks).distinct()
+
+
 def near_groups(
     docs: DataFrame,
     size: int = 5,
@@ -169,10 +248,9 @@ def near_groups(
     Texts are linked if 100 * |intersection| >= percent * |union| of their sets of
     ``size``-word shingles; every link that counts was checked on the full sets. Texts of
     one set form a class. Sketches propose classes that share a band. In each bucket all
-    classes are checked against its first one; classes that are then still in different
-    components are checked with each other, unless sizes or the triangle inequality of
-    the Jaccard distance rule a link out. So a large bucket of near copies costs checks
-    in proportion to its size, and no bucket is capped.
+    classes are checked against its first one; classes of a bucket that are then still in
+    different components are checked with each other. So a bucket of near copies costs
+    checks in proportion to its size, but for those that stay apart, and none is capped.
 
     ``component_id`` is the least id reachable over links, ``kept`` whether it is the
     row's own. Null and empty texts have no shingles and stand alone. Null ids never
@@ -192,17 +270,17 @@ def near_groups(
         full.groupBy("set_key").agg(
             F.min("row").alias("node"),
             F.min("doc_id").alias("first_id"),
-            F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
         ),
         "classes",
     )
-    members = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    members = classes.select("node", F.explode("bands").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("c"))
-    leaders = leaders.where("c > 1").drop("c")
-    members = written(members.join(leaders, "bucket").where("node <> lead"), "members")
-    stars = members.select(F.col("lead").alias("lo"), F.col("node").alias("hi")).distinct()
-    nodes = members.select("node").union(members.select("lead")).distinct()
+    # both sides grow with the documents: never broadcast because a small table allows it
+    leaders = leaders.where("c > 1").drop("c").hint("merge")
+    stars = members.join(leaders, "bucket").where("node <> lead")
+    stars = written(stars.select(F.col("lead").alias("lo"), F.col("node").alias("hi")).distinct(), "stars")
+    nodes = stars.select(F.col("lo").alias("node")).union(stars.select("hi")).distinct()
     packed = written(
         full.select(F.col("row").alias("node"), "packed").join(nodes, "node", "left_semi"), "packed"
     )
@@ -211,37 +289,11 @@ def near_groups(
     links = checked.where(linked).select("lo", "hi")
     roots = components(links)
 
-    # What is left: pairs of one bucket, neither its leader, in different components.
+    # Two classes of one bucket both met its first one. What is left are pairs of classes
+    # that met the same class but are in different components.
     distance = 1 - F.col("both") / F.col("either")
-    placed = (
-        members.join(
-            checked.select(F.col("lo").alias("lead"), F.col("hi").alias("node"), distance.alias("d")),
-            ["lead", "node"],
-        )
-        .join(roots, "node", "left")
-        .select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), "d")
-    )
-    mixed_ = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
-    placed = written(placed.join(mixed_.select("bucket"), "bucket"), "placed")
-    major = (
-        placed.groupBy("bucket", "root")
-        .count()
-        .groupBy("bucket")
-        .agg(F.max(F.struct("count", "root")).alias("m"))
-        .select("bucket", F.col("m.root").alias("major"))
-    )
-    few = placed.join(major, "bucket").where("root <> major")
-    few = few.select("bucket", "major", *(F.col(c).alias(f"_{c}") for c in ("node", "n", "root", "d")))
-    reach, slack = 1 - percent / 100, 1e-9
-    rest = (
-        few.join(placed, "bucket")
-        .where("root <> _root AND (root = major OR node < _node)")
-        .where(F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent)
-        .where(F.abs(F.col("d") - F.col("_d")) <= reach + slack)
-        .select(F.least("node", "_node").alias("lo"), F.greatest("node", "_node").alias("hi"))
-        .distinct()
-    )
-    again = _similarities(rest, packed, size).where(linked).select("lo", "hi")
+    met = checked.select(F.col("lo").alias("lead"), F.col("hi").alias("node"), distance.alias("d"))
+    again = written(_between_components(met, roots, packed, size, percent), "later_links")
     if not again.isEmpty():
         roots = components(links.union(again))
 
@@ -264,5 +316,7 @@ def near_groups(
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each group of ``near_groups``; all columns stay."""
     gone = near_groups(docs, id_col=id_col, text_col=text_col, **how).where("NOT kept")
-    gone = gone.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    gone = gone.select(F.col("doc_id").alias("id")).distinct()
+    # the whole row in one column, so that no name of it meets those used here
+    rows = docs.select(F.struct("*").alias("doc"))
+    return rows.join(gone, F.col("doc").getField(id_col).eqNullSafe(F.col("id")), "left_anti").select("doc.*")
