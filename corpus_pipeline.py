@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_ids and ids of each text of the mixture."""
-    ids = encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), name="ids")
+    ids = encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
 
 

@@ -7,10 +7,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-
-from lexikin.llm.common import text_or_empty
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Fixed values of the model format: kinds of models and pieces, and the space mark.
 UNIGRAM, BPE = 1, 2
@@ -19,9 +17,10 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 START = -1
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLOT_BITS = 20
-CACHED = 1 << 20
-TOGETHER = 4_096
+#: Slots of the filter of piece hashes and of the pairs met lately, words kept, and
+#: characters that advance together.
+SLOT_BITS, PAIR_BITS, CACHED, TOGETHER = 20, 21, 1 << 18, 1 << 16
+TOGETHER_ROWS = 256
 U = np.uint64
 
 
@@ -61,13 +60,19 @@ class PieceModel:
         self.longest = max(map(len, self.piece_ids))
         self.crossing = any(MARK in p.lstrip(MARK) for p in self.piece_ids)
         self.worst = min((self.scores[i] for i in self.piece_ids.values()), default=0.0) - UNKNOWN_PENALTY
-        self._keys()
-        self.slot_key = np.full(1 << SLOT_BITS, -1, np.int64)
-        self.slot_ok = np.zeros(1 << SLOT_BITS, bool)
+        self.ready = False
+        #: ids of parts as they are, and of words that a mark goes before
         self.words: dict[str, bytes] = {}
+        self.marked: dict[str, bytes] = {}
 
     def _keys(self) -> None:
-        """Sorted hashes of the pieces, with their ids and letters to check a match."""
+        """Sorted hashes of the pieces, with their ids and letters to check a match.
+
+        Made on the first encoding, as decoding needs none of it.
+        """
+        self.ready = True
+        self.slot_key = np.full(1 << PAIR_BITS, -1, np.int64)
+        self.slot_ok = np.zeros(1 << PAIR_BITS, bool)
         texts = list(self.piece_ids)
         letters = np.zeros((len(texts), self.longest), np.uint32)
         for row, text in enumerate(texts):
@@ -88,6 +93,22 @@ class PieceModel:
         self.powers = np.cumprod(np.full(self.longest, BASE))
         self.powers = np.concatenate([[U(1)], self.powers])
 
+    def _found(self, key: np.ndarray) -> np.ndarray:
+        """The place of each hash among the sorted keys, or -1."""
+        out = np.full(key.shape, -1, np.int64)
+        at = np.nonzero(self.maybe[key >> U(64 - SLOT_BITS)])
+        some = key[at]
+        place = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        out[at] = np.where(self.keys[place] == some, place, -1)
+        return out
+
+    def _sums(self, letters: np.ndarray) -> np.ndarray:
+        """Hashes of all beginnings of each row of letters."""
+        sums = np.zeros((letters.shape[0], letters.shape[1] + 1), U)
+        for i in range(letters.shape[1]):
+            sums[:, i + 1] = sums[:, i] * BASE + letters[:, i] + U(1)
+        return sums
+
     def _merged(self, text: str) -> list[str]:
         """A short text by merging the best-scored neighbours, the leftmost first."""
         parts = list(text)
@@ -101,27 +122,26 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _follows(self, key: int) -> bool:
-        """Whether BPE leaves the two pieces of a key side by side.
+    def _stay_apart(self, pair: int) -> bool:
+        """Whether BPE leaves the two pieces of a pair side by side.
 
         A cut of a text is its BPE encoding if and only if that holds for each pair of
         neighbours, so each prefix has one piece at most that can end it.
         """
-        before, piece = key >> 32, key & 0xFFFFFFFF
-        text = self.piece_of[piece]
+        before, text = pair >> 32, self.piece_of[pair & 0xFFFFFFFF]
         if before == len(self.scores):
             return self._merged(text) == [text]
         return self._merged(self.piece_of[before] + text) == [self.piece_of[before], text]
 
     def _may_follow(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """``_follows`` for many pairs; what was found lately is kept by slots."""
+        """``_stay_apart`` for many pairs; what was found lately is kept by slots."""
         key = (np.where(before < 0, len(self.scores), before) << 32) | piece
-        slot = (key.view(U) * BASE >> U(64 - SLOT_BITS)).astype(np.int64)
+        slot = (key.view(U) * BASE >> U(64 - PAIR_BITS)).astype(np.int64)
         new = self.slot_key[slot] != key
         out = self.slot_ok[slot]
         if new.any():
             few, where = np.unique(key[new], return_inverse=True)
-            found = np.array([self._follows(k) for k in few.tolist()])
+            found = np.array([self._stay_apart(k) for k in few.tolist()])
             out[new] = found[where]
             self.slot_key[slot[new]] = key[new]
             # where two keys share a slot, one of them is kept, with its own answer
@@ -133,17 +153,13 @@ class PieceModel:
         """found[size - 1, word, end]: the piece of ``size`` letters before ``end``, or -1."""
         n, length = letters.shape
         span = min(self.longest, length)
-        sums = np.zeros((n, length + 1), U)
-        for i in range(length):
-            sums[:, i + 1] = sums[:, i] * BASE + letters[:, i] + U(1)
-        found = np.full((span, n, length + 1), -1, np.int64)
+        sums = self._sums(letters)
+        found = np.full((span, n, length + 1), -1, np.int32)
         for size in range(1, span + 1):
             key = sums[:, size:] - sums[:, : length + 1 - size] * self.powers[size]
-            row, begin = np.nonzero(self.maybe[key >> U(64 - SLOT_BITS)])
-            key = key[row, begin]
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = (self.keys[place] == key) & (self.key_lengths[place] == size)
-            row, begin, place = row[hit], begin[hit], place[hit]
+            place = self._found(key)
+            row, begin = np.nonzero((place >= 0) & (self.key_lengths[place] == size))
+            place = place[row, begin]
             same = np.ones(len(row), bool)
             for j in range(size):
                 same &= self.key_letters[place, j] == letters[row, begin + j]
@@ -163,7 +179,7 @@ class PieceModel:
             most = min(len(found), end)
             here = found[:most, :, end].T
             row, size = np.nonzero(here >= 0)
-            ids, begin = here[row, size], end - 1 - size
+            ids, begin = here[row, size].astype(np.int64), end - 1 - size
             gain = np.full((n, most), -np.inf)
             if self.kind == BPE:
                 ok = self._may_follow(piece[row, begin], ids)
@@ -201,32 +217,54 @@ class PieceModel:
         return [self.byte_ids[b] for b in text.encode()] if self.byte_ids else [self.unknown]
 
     def _cut(self, text: str) -> list[str]:
-        """Parts that no piece crosses: each run of marks begins one."""
-        if not text:
+        """Parts that no piece crosses, less the mark that each begins with.
+
+        Each run of marks begins a part, and so does the text.
+        """
+        uneven = "  " in text or text[:1] == " " or text[-1:] == " "
+        if self.crossing or not self.prefix or MARK in text or uneven:
             return []
-        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
+        return text.split(" ") if text else []
+
+    def _odd(self, text: str) -> list[str]:
+        """Parts of any other text, with their marks."""
+        marked = (MARK if self.prefix and text else "") + text.replace(" ", MARK)
         if self.crossing:
-            return [marked]
-        if MARK * 2 in marked or marked[-1] == MARK:
-            return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", marked)
-        first, *rest = marked.split(MARK)
-        return ([first] if first else []) + [MARK + w for w in rest]
+            return [marked] if marked else []
+        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", marked)
+
+    def _ids_of(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of parts, as bytes."""
+        out: dict[str, bytes] = {}
+        by_length = defaultdict(list)
+        for word in words:
+            by_length[len(word)].append(word)
+        for length, some in by_length.items():
+            together = max(1, TOGETHER // length)
+            for at in range(0, len(some), together):
+                part = some[at : at + together]
+                out.update(zip(part, self._equal_length(part), strict=True))
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as 32-bit integers."""
-        parts = [self._cut(t) for t in texts]
-        if len(self.words) > CACHED:
+        if not self.ready:
+            self._keys()
+        if len(self.words) + len(self.marked) > CACHED:
             self.words.clear()
-        by_length = defaultdict(list)
-        for word in {w for p in parts for w in p if w not in self.words}:
-            by_length[len(word)].append(word)
-        for length, words in by_length.items():
-            together = max(1, min(TOGETHER, (1 << 20) // length))
-            for at in range(0, len(words), together):
-                some = words[at : at + together]
-                self.words.update(zip(some, self._equal_length(some), strict=True))
-        get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), "<i4") for p in parts]
+            self.marked.clear()
+        even = [self._cut(t) for t in texts]
+        odd = [[] if e else self._odd(t) for e, t in zip(even, texts, strict=True)]
+        known = self.marked
+        new = {w for words in even for w in words if w not in known}
+        self.words.update(self._ids_of({w for words in odd for w in words if w not in self.words}))
+        found = self._ids_of({MARK + w for w in new})
+        known.update((w, found[MARK + w]) for w in new)
+        plain, marked = self.words.__getitem__, known.__getitem__
+        return [
+            np.frombuffer(b"".join(map(marked, e) if e else map(plain, o)), "<i4")
+            for e, o in zip(even, odd, strict=True)
+        ]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; ill-formed byte runs give replacement characters."""
@@ -245,40 +283,66 @@ def _loaded(docs: DataFrame, path: str):
     return lambda: PieceModel(shared.value)
 
 
-def encoded(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids") -> DataFrame:
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, keep: list[str] | None, column_of):
+    """``df`` with a column made from ``source``, TOGETHER_ROWS rows at a time."""
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() != name.lower()]
+    # by place, so that no name meets another
+    read = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate([*kept, source])))
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = column_of()
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER_ROWS):
+                part = batch.slice(at, TOGETHER_ROWS)
+                columns = [part.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*columns, made(part.column(len(kept)))], names=[*kept, name])
+
+    return read.mapInArrow(run, schema)
+
+
+def encoded(
+    docs: DataFrame, path: str, text_col: str = "text", name: str = "ids", keep: list[str] | None = None
+) -> DataFrame:
     """``docs`` with a column of the ids that the model at ``path`` gives each whole text.
 
     The ids are those of the SentencePiece library. A unigram model takes the cut with
     the best sum of scores. A BPE model takes the cut whose neighbours all stay apart
-    under its merges, which is its encoding. Null and empty texts have no ids. A column
-    of that name is replaced.
+    under its merges, which is its encoding. Null and empty texts have no ids. ``keep``
+    names the columns that stay, by default all; one named as the new one is replaced.
     """
     model = _loaded(docs, path)
 
-    @F.pandas_udf("array<int>")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def column_of():
         known = model()
-        for texts in batches:
-            out: list[np.ndarray] = []
-            for at in range(0, len(texts), 512):
-                out.extend(known.encode(texts.iloc[at : at + 512].tolist()))
-            yield pd.Series(out, dtype=object)
 
-    return docs.withColumn(name, ids_of(text_or_empty(text_col)))
+        def ids_of(texts: pa.Array) -> pa.Array:
+            ids = known.encode([t or "" for t in texts.to_pylist()])
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "<i4"), *ids])))
+
+        return ids_of
 
+    return _with_column(docs, text_col, name, T.ArrayType(T.IntegerType()), keep, column_of)
 
-def decoded(rows: DataFrame, path: str, ids_col: str = "ids", name: str = "text") -> DataFrame:
+
+def decoded(
+    rows: DataFrame, path: str, ids_col: str = "ids", name: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """``rows`` with the text of each list of ids; null counts as no ids.
 
     Decoding gives back the encoded text, but for a space in place of each literal
-    space mark, as in the library.
+    space mark, as in the library. ``keep`` is as for ``encoded``.
     """
     model = _loaded(rows, path)
 
-    @F.pandas_udf("string")
-    def texts_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def column_of():
         known = model()
-        for lists in batches:
-            yield pd.Series([known.decode(np.asarray(v)) for v in lists], dtype=object)
 
-    return rows.withColumn(name, texts_of(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
+        def texts_of(lists: pa.Array) -> pa.Array:
+            parts = (lists[i].values for i in range(len(lists)))
+            return pa.array([known.decode(np.asarray([] if p is None else p, np.int64)) for p in parts], pa.string())
+
+        return texts_of
+
+    return _with_column(rows, ids_col, name, T.StringType(), keep, column_of)

@@ -79,7 +79,7 @@ def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = encoded(table(spark, folder, "documents").select("doc_id", "text"), model).drop("text")
+    ids = encoded(table(spark, folder, "documents"), model, keep=["doc_id"])
     back = decoded(ids, model, name="back")
     return back.select(
         "doc_id",
