@@ -114,6 +114,33 @@ def _best_of_block(k: int):
     return run
 
 
+def _best_in_cells(asked: DataFrame, rows: DataFrame, key: list[str], k: int, block: int) -> DataFrame:
+    """query, vec_id, score: for each query of ``asked`` the k best rows of each cell it
+    meets, among the ``rows`` with its ``key``.
+
+    Rows and queries of a key are both cut into parts of about ``block`` by their ids; a
+    cell is one part of each, so no task holds more than that of either side.
+    """
+    parts = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    cuts = F.broadcast(written(parts(rows, "r_cuts").join(parts(asked, "q_cuts"), key), "cells"))
+    part = lambda cuts: F.pmod(F.xxhash64("id"), F.col(cuts)).cast("int")
+    every = lambda cuts: F.explode(F.sequence(F.lit(0), F.col(cuts) - 1))
+    cell = [*key, "q", "r"]
+    queries = asked.join(cuts, key).withColumn("q", part("q_cuts")).withColumn("r", every("r_cuts"))
+    others = rows.join(cuts, key).withColumn("r", part("r_cuts")).withColumn("q", every("q_cuts"))
+    return (
+        queries.select(*cell, "id", "vec")
+        .groupBy(*cell)
+        .cogroup(others.select(*cell, "id", "vec").groupBy(*cell))
+        .applyInPandas(_best_of_block(k), "query long, vec_id long, score double")
+    )
+
+
+def _top(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -130,7 +157,9 @@ def nearest(
     Every usable row of ``vectors`` is indexed in each table under the signed axis that
     its rotated unit vector is nearest to; a query looks under its ``probes`` nearest
     axes, and all rows found there are ranked by the exact cosine in double precision,
-    ties to the smaller id. A query never finds its own id. Buckets are cut into blocks
+    ties to the smaller id. A query under whose axes fewer than k others lie is searched
+    exactly among all rows, so each gets k rows, or all there are if there are fewer. A
+    query never finds its own id. Buckets are cut into blocks
     of about ``block`` rows, whose rows and queries meet as matrices, and only the best
     of a block move on. Of equal vectors the k + 1 smallest ids are indexed, as no others
     can be among the k nearest; equal queries are searched once.
@@ -180,11 +209,14 @@ def nearest(
         .groupBy("query", "vec_id")
         .agg(F.max("score").alias("score"))
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     # k + 1 others beside the group's own rows: an own id is taken out for each query.
-    top = written(
-        found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).drop("_n"), "found"
-    )
+    top = written(_top(found, k + 1), "found")
+    enough = top.groupBy("query").count().where(F.col("count") > k).select(F.col("query").alias("id"))
+    short = written(one_each.join(enough, "id", "left_anti").withColumn("dim", F.size("vec")), "short")
+    if not short.isEmpty():
+        whole = _best_in_cells(short, rows.withColumn("dim", F.size("vec")), ["dim"], k + 1, block)
+        kept = top.join(enough.withColumnRenamed("id", "query"), "query", "left_semi")
+        top = kept.unionByName(written(_top(whole, k + 1), "searched_whole"))
     members = asked.select("h1", "h2", F.col("id").alias("query_id")).distinct()
     each = (
         members.join(groups.withColumnRenamed("id", "query"), ["h1", "h2"])

@@ -69,6 +69,22 @@ def test_recall(vectors_of):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_every_query_gets_k_rows_or_all(vectors_of):
+    rng = np.random.default_rng(7)
+    few = [(i, rng.normal(size=64).tolist()) for i in range(4)]
+    assert found(nearest(vectors_of(few), vectors_of(few), k=5)) == plain(few, range(4), 5)
+    centre = rng.normal(size=64)
+    rows = [(i, (centre + 0.02 * rng.normal(size=64)).tolist()) for i in range(300)]
+    asked = [(1000 + i, rng.normal(size=64).tolist()) for i in range(20)]
+    asked += [(2000 + i, (-centre + 0.02 * rng.normal(size=64)).tolist()) for i in range(20)]
+    asked += [(3000, asked[-1][1]), (7, asked[-1][1])]  # equal queries, one with the id of a row
+    got = found(nearest(vectors_of(rows), vectors_of(asked), k=5, block=64))
+    assert set(got) == {i for i, _ in asked} and all(len(g) == 5 for g in got.values())
+    for i, v in asked[20:]:
+        want = plain([r for r in rows if r[0] != i] + [(i, v)], [i], 5)[i]
+        assert got[i] == want
+
+
 def test_rotations_keep_angles_and_nothing_gives_nothing(vectors_of):
     unit = np.eye(5)
     codes = axes(np.concatenate([unit, -unit]), 3, 4, 9)
