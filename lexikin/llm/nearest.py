@@ -122,6 +122,7 @@ def _best_in_cells(asked: DataFrame, rows: DataFrame, key: list[str], k: int, bl
     cell is one part of each, so no task holds more than that of either side.
     """
     parts = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    # a row for each key: at most tables * 2 * width for each dimension
     cuts = F.broadcast(written(parts(rows, "r_cuts").join(parts(asked, "q_cuts"), key), "cells"))
     part = lambda cuts: F.pmod(F.xxhash64("id"), F.col(cuts)).cast("int")
     every = lambda cuts: F.explode(F.sequence(F.lit(0), F.col(cuts) - 1))
@@ -159,10 +160,10 @@ def nearest(
     axes, and all rows found there are ranked by the exact cosine in double precision,
     ties to the smaller id. A query under whose axes fewer than k others lie is searched
     exactly among all rows, so each gets k rows, or all there are if there are fewer. A
-    query never finds its own id. Buckets are cut into blocks
-    of about ``block`` rows, whose rows and queries meet as matrices, and only the best
-    of a block move on. Of equal vectors the k + 1 smallest ids are indexed, as no others
-    can be among the k nearest; equal queries are searched once.
+    query never finds its own id. Rows and queries of a bucket are cut into parts of about
+    ``block``, which meet as matrices, and only the best of a part move on. Of equal
+    vectors the k + 1 smallest ids are indexed, as no others can be among the k nearest;
+    equal queries are searched once.
 
     Null, zero and non-finite vectors and null ids take no part; only vectors of one
     length are compared. Repeated rows count once. No usable row or query: no result.
@@ -192,20 +193,9 @@ def nearest(
 
     bucket = ["dim", "table", "code"]
     indexed = written(_coded(rows, tables, 1, seed), "index")
-    cuts = indexed.groupBy(*bucket).agg(F.ceil(F.count("*") / block).cast("int").alias("cuts"))
-    # at most tables * 2 * width rows for each dimension
-    cuts = F.broadcast(written(cuts, "cuts"))
-    indexed = indexed.join(cuts, bucket).withColumn(
-        "cut", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
-    )
-    probing = _coded(one_each, tables, probes, seed).join(cuts, bucket)
-    probing = probing.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    key = [*bucket, "cut"]
+    # codes of queries are made again when cells are counted: they are many, and not written
     found = (
-        probing.select(*key, "id", "vec")
-        .groupBy(*key)
-        .cogroup(indexed.select(*key, "id", "vec").groupBy(*key))
-        .applyInPandas(_best_of_block(k + 1), "query long, vec_id long, score double")
+        _best_in_cells(_coded(one_each, tables, probes, seed), indexed, bucket, k + 1, block)
         .groupBy("query", "vec_id")
         .agg(F.max("score").alias("score"))
     )

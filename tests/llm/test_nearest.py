@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
+from lexikin.llm import nearest as module
 from lexikin.llm.nearest import axes, nearest
 
 SCHEMA = T.StructType(
@@ -85,6 +86,26 @@ def test_every_query_gets_k_rows_or_all(vectors_of):
         assert got[i] == want
 
 
+def test_crowded_queries_are_cut(vectors_of, monkeypatch):
+    whole = module._best_of_block
+
+    def bounded(k):
+        best = whole(k)
+
+        def run(queries, rows):
+            assert len(queries) <= 128 and len(rows) <= 128
+            return best(queries, rows)
+
+        return run
+
+    monkeypatch.setattr(module, "_best_of_block", bounded)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=16)
+    rows = [(i, (centre + 0.001 * rng.normal(size=16)).tolist()) for i in range(600)]
+    got = found(nearest(vectors_of(rows), vectors_of(rows), k=3, tables=1, probes=2, block=64))
+    assert len(got) == 600 and all(len(g) == 3 for g in got.values())
+
+
 def test_rotations_keep_angles_and_nothing_gives_nothing(vectors_of):
     unit = np.eye(5)
     codes = axes(np.concatenate([unit, -unit]), 3, 4, 9)
