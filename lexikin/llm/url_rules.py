@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import string
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexikin.llm.common import written
@@ -18,7 +17,6 @@ GIVEN = (
     ("net", "/fr/", "block"),
 )
 ALLOW, BLOCK = "allow", "block"
-LABEL = "="
 
 
 def host_of(url: Column) -> Column:
@@ -48,69 +46,130 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_distinct(F.filter(runs, lambda t: t != ""))
 
 
-def mined_rules(
-    labelled: DataFrame, support: float = 0.005, confidence: float = 0.8, most_tokens: int = 20
-) -> DataFrame:
-    """tokens, size, verdict, confidence, support: rules from ``labelled`` (tokens, verdict).
+def _spread(df: DataFrame, bound: int = 100_000) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``bound`` rows."""
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+
+
+def mined_rules(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8) -> DataFrame:
+    """tokens, closure, size, verdict, confidence, support: rules from ``labelled``
+    (tokens, verdict).
+
+    Rules lead from a set of tokens to a verdict. They count if ``support`` (share of
+    labelled pages that hold the set and have the verdict) and ``confidence`` reach the
+    bounds. Every token that reaches the support takes part, in sets of any size.
 
-    FP-growth mines sets of tokens with the verdict as one more item. Rules that lead from
-    tokens to a verdict stay if ``support`` (share of labelled pages that hold tokens and
-    verdict) and ``confidence`` reach the bounds. It sees the ``most_tokens`` tokens whose
-    shares among blocked and allowed pages differ most, which bounds the sets by
-    2 ** most_tokens whatever the pages are. Without labelled pages there are no rules.
+    Only sets are kept that no smaller one stands for: sets on the same pages have one
+    ``closure``, all tokens that those pages share, and are given by their least sets
+    (``tokens``); and a set whose pages all have one verdict isn't made larger, as that
+    can only lessen the support. So the best rule that fires is the one among all rules.
+    Sets grow by a token a round. Without labelled pages there are no rules.
     """
     spark = labelled.sparkSession
-    empty = "tokens array<string>, size int, verdict string, confidence double, support double"
-    totals = {r["verdict"]: r["n"] for r in labelled.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
-    total = sum(totals.values())
+    empty = "tokens array<string>, closure array<string>, size int, verdict string, confidence double, support double"
+    total = labelled.count()
     if not total:
         return spark.createDataFrame([], empty)
-    share = lambda v: F.sum((F.col("verdict") == v).cast("long")) / max(1, totals.get(v, 0))
-    seen = (
-        labelled.select(F.explode("tokens").alias("token"), "verdict")
-        .groupBy("token")
-        .agg(F.count("*").alias("n"), F.abs(share(BLOCK) - share(ALLOW)).alias("gap"))
-        .where(F.col("n") >= support * total)
+    blocked = (F.col("verdict") == BLOCK).cast("long")
+    # one row for each set of tokens and its counts of blocked and other pages
+    seen = labelled.groupBy("tokens").agg(F.sum(blocked).alias("b"), F.sum(1 - blocked).alias("a"))
+    seen = written(seen, "url_tokens")
+    often = F.greatest("a", "b") >= support * total
+    some = (
+        seen.select(F.explode("tokens").alias("t"), "a", "b")
+        .groupBy("t")
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .where(often)
     )
-    few = [r["token"] for r in seen.orderBy(F.desc("gap"), "token").limit(most_tokens).collect()]
-    items = F.concat(
-        F.array_intersect("tokens", F.array(*map(F.lit, few)).cast("array<string>")),
-        F.array(F.concat(F.lit(LABEL), "verdict")),
-    )
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(
-        labelled.select(items.alias("items"))
-    )
-    found = model.associationRules.where(F.col("consequent")[0].startswith(LABEL))
-    return written(
-        found.select(
-            F.array_sort("antecedent").alias("tokens"),
-            F.size("antecedent").alias("size"),
-            F.substring(F.col("consequent")[0], len(LABEL) + 1, 99).alias("verdict"),
-            "confidence",
-            "support",
-        ),
-        "url_rules",
+    some = [r["t"] for r in some.select("t").collect()]
+    few = F.array_sort(F.array_intersect("tokens", F.array(*map(F.lit, sorted(some))).cast("array<string>")))
+    held = written(
+        seen.groupBy(few.alias("tokens"))
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .withColumn("x", F.array().cast("array<string>")),
+        "url_sets",
     )
+    # the sets of this round: x, a, b; at first the empty one, which is no rule
+    sets = held.groupBy("x").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    rules, size = None, 0
+    while True:
+        # counts of each set with one more token, be it new or shared by all its pages
+        more = (
+            held.select("x", F.explode(F.array_except("tokens", "x")).alias("t"), "a", "b")
+            .groupBy("x", "t")
+            .agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
+        )
+        more = written(more.join(_spread(sets), "x"), "url_more")
+        same = F.col("ta") + F.col("tb") == F.col("a") + F.col("b")
+        if size:
+            shared = more.where(same).groupBy("x").agg(F.collect_set("t").alias("shared"))
+            closed = sets.join(shared, "x", "left").select(
+                F.col("x").alias("tokens"),
+                F.array_sort(F.concat("x", F.coalesce("shared", F.array().cast("array<string>")))).alias("closure"),
+                F.size("x").alias("size"),
+                F.explode(F.array(F.struct(F.lit(ALLOW).alias("v"), F.col("a").alias("n")), F.struct(F.lit(BLOCK).alias("v"), F.col("b").alias("n")))).alias("to"),
+                (F.col("a") + F.col("b")).alias("all"),
+            )
+            found = closed.select(
+                "tokens", "closure", "size", F.col("to.v").alias("verdict"),
+                (F.col("to.n") / F.col("all")).alias("confidence"), (F.col("to.n") / F.lit(total)).alias("support"),
+            ).where((F.col("to.n") >= support * total) & (F.col("confidence") >= confidence))
+            found = written(found, "url_rules")
+            rules = found if rules is None else rules.unionByName(found)
+        grown = more.where(F.greatest("ta", "tb") >= support * total)
+        if size:
+            last = F.element_at("x", -1)
+            grown = grown.where(~same & (F.col("a") > 0) & (F.col("b") > 0) & (F.col("t") > last))
+        grown = grown.select(F.concat("x", F.array("t")).alias("x"), F.col("ta").alias("a"), F.col("tb").alias("b"))
+        if size:
+            # each set less one token is among those of this round, and on more pages
+            less = F.explode(F.transform("x", lambda t: F.array_except("x", F.array(t))))
+            parts = sets.where("a > 0 AND b > 0").select(F.col("x").alias("part"), (F.col("a") + F.col("b")).alias("n"))
+            least = (
+                grown.withColumn("part", less)
+                .join(_spread(parts), "part")
+                .where("n > a + b")
+                .groupBy("x", "a", "b")
+                .count()
+                .where(F.col("count") == size + 1)
+            )
+            grown = least.drop("count")
+        sets = written(grown, "url_sets")
+        if sets.isEmpty():
+            return rules if rules is not None else spark.createDataFrame([], empty)
+        added = F.filter("tokens", lambda t: (F.size("x") == 0) | (t > F.element_at("x", -1))) if size else F.col("tokens")
+        held = written(
+            held.select("tokens", "a", "b", "x", F.explode(added).alias("t"))
+            .select("tokens", "a", "b", F.concat("x", F.array("t")).alias("x"))
+            .join(_spread(sets.select("x")), "x", "left_semi"),
+            "url_sets",
+        )
+        size += 1
 
 
 def best_match(sets: DataFrame, rules: DataFrame) -> DataFrame:
     """key, mined: for each row of ``sets`` (key, tokens) the verdict of its best rule.
 
     Rules form an inverted index from token to rule; a rule fires where the tokens found
-    are as many as it has. The highest confidence decides, then support, then more
-    tokens, then the order of the tokens. Rows without a firing rule are left out. The
-    index has a size bounded by the miner, so it is broadcast.
+    are as many as it has, and then stands for the set of all its ``closure`` that the row
+    has. The highest confidence decides, then support, then more tokens, then the order
+    of the tokens. Rows without a firing rule are left out.
     """
-    index = rules.withColumn("rule", F.struct(-F.col("confidence"), -F.col("support"), -F.col("size"), "tokens", "verdict"))
+    index = rules.withColumn("rule", F.struct("confidence", "support", "tokens", "closure", "verdict"))
     index = index.select(F.explode("tokens").alias("token"), "rule", "size")
     fired = (
         sets.select("key", F.explode("tokens").alias("token"))
-        .join(F.broadcast(index), "token")
+        .join(_spread(index), "token")
         .groupBy("key", "rule", "size")
         .count()
         .where("count = size")
+        .withColumn("whole", F.array_sort(F.array_intersect("rule.closure", "key")))
+    )
+    order = F.struct(
+        (-F.col("rule.confidence")).alias("c"), (-F.col("rule.support")).alias("s"),
+        (-F.size("whole")).alias("n"), "whole", F.col("rule.verdict").alias("verdict"),
     )
-    return fired.groupBy("key").agg(F.min("rule").alias("rule")).select("key", F.col("rule.verdict").alias("mined"))
+    return fired.groupBy("key").agg(F.min(order).alias("best")).select("key", F.col("best.verdict").alias("mined"))
 
 
 def url_verdicts(
@@ -138,7 +197,7 @@ def url_verdicts(
     found = mined_rules(
         judged.where("given IS NOT NULL").select("tokens", F.col("given.verdict").alias("verdict")), **mining
     )
-    known = found.select(F.explode("tokens").alias("t")).agg(F.sort_array(F.collect_set("t"))).first()[0]
+    known = found.select(F.explode("closure").alias("t")).agg(F.sort_array(F.collect_set("t"))).first()[0]
     # Pages with the same mined tokens are judged once; those sets are what is joined.
     key = F.array_sort(F.array_intersect("tokens", F.array(*map(F.lit, known)).cast("array<string>")))
     judged = judged.withColumn("key", F.when(F.col("given").isNull(), key))

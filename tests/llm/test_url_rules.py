@@ -85,6 +85,28 @@ def test_verdicts_match_plain_counting(pages):
     assert {r.decided_by for r in got} == {"given", "mined", "default"}
 
 
+def test_rare_tokens_decide_among_many(pages):
+    # 30 tokens that tell verdicts apart well, and rare ones that are always blocked
+    random.seed(4)
+    urls = [f"http://h{i % 30}.example.com/en/p{i % 30}" for i in range(900)]
+    urls += [f"http://h{i % 30}.b.com/q{i % 7}" for i in range(600)]
+    urls += [f"http://h{i % 30}.b.net/es/rare{i % 2}" for i in range(24)]
+    urls += [f"http://x.org/{'rare0' if i % 2 else 'q1'}/{random.choice(['p1', 'h3', 'rare1', 'b'])}" for i in range(20)]
+    got = url_verdicts(pages(urls), support=0.005, confidence=0.8).collect()
+    assert sorted(map(tuple, got)) == plain_verdicts(urls, 0.005, 0.8)
+    assert {r.verdict for r in got if r.host == "x.org" and r.path == "/rare0/b"} == {"block"}
+
+
+def test_ties_and_shared_tokens(pages):
+    random.seed(5)
+    urls = []
+    for _ in range(120):
+        host = random.choice(["u.v.com", "v.com", "w.example.com", "u.net", "w.u.net", "o.org", "v.w.org"])
+        urls.append(f"http://{host}/{random.choice(['en', 'es', 'fr', 'm'])}/{'/'.join(random.sample('klmn', 2))}")
+    got = url_verdicts(pages(urls), support=0.02, confidence=0.5).collect()
+    assert sorted(map(tuple, got)) == plain_verdicts(urls, 0.02, 0.5)
+
+
 def test_odd_urls(pages):
     got = sorted(url_verdicts(pages(ODD)).collect())
     assert [(r.host, r.path, r.rule) for r in got] == [(*plain_parts(u), plain_rule(*plain_parts(u))[0]) for u in ODD]
