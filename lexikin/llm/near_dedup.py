@@ -99,7 +99,9 @@ def band_keys(sketches: np.ndarray, rows: int, bands: int) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (null for the empty set), bands, packed words."""
+    """doc_id, n_shingles, set_key (null for the empty set), bands, packed words, and
+    text_key where ``docs`` has it."""
+    more = [c for c in docs.columns if c == "text_key"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, packer = Words(), zstandard.ZstdCompressor(level=1)
@@ -121,12 +123,12 @@ def _sketched(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                         "set_key": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                         "bands": keys,
                         "packed": [packer.compress(b" ".join(w)) for w in words],
+                        **{c: part[c].to_numpy() for c in more},
                     }
                 )
 
-    return docs.mapInPandas(
-        run, "doc_id string, n_shingles long, set_key binary, bands array<long>, packed binary"
-    )
+    schema = "doc_id string, n_shingles long, set_key binary, bands array<long>, packed binary"
+    return docs.mapInPandas(run, ", ".join([schema, *(f"{c} binary" for c in more)]))
 
 
 def _similarities(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
@@ -234,31 +236,15 @@ def _between_components(
     return links.union(blocks).distinct()
 
 
-def near_groups(
-    docs: DataFrame,
-    size: int = 5,
-    percent: int = 80,
-    rows: int = ROWS,
-    bands: int = BANDS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
-
-    Texts are linked if 100 * |intersection| >= percent * |union| of their sets of
-    ``size``-word shingles; every link that counts was checked on the full sets. Texts of
-    one set form a class. Sketches propose classes that share a band. In each bucket all
-    classes are checked against its first one; classes of a bucket that are then still in
-    different components are checked with each other. So a bucket of near copies costs
-    checks in proportion to its size, but for those that stay apart, and none is capped.
+def _in_groups(texts: DataFrame, size: int, percent: int, rows: int, bands: int) -> DataFrame:
+    """doc_id, n_shingles, set_key, component_id of each row of ``texts`` (doc_id, text).
 
-    ``component_id`` is the least id reachable over links, ``kept`` whether it is the
-    row's own. Null and empty texts have no shingles and stand alone. Null ids never
-    name a component unless all its ids are null; repeated rows share a component. An
-    empty table gives no rows; other columns are not read.
+    Where ``texts`` has a ``text_key``, too, it stays, and ``first`` is the least
+    (doc_id is null, doc_id, text_key) of the component.
     """
-    id_type = docs.schema[id_col].dataType
-    texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    keyed = "text_key" in texts.columns
+    id_type = texts.schema["doc_id"].dataType
+    texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
     sketched = written(
         _sketched(texts, size, rows, bands)
         .withColumn("doc_id", F.col("doc_id").cast(id_type))
@@ -271,6 +257,7 @@ def near_groups(
             F.min("row").alias("node"),
             F.min("doc_id").alias("first_id"),
             F.first("bands").alias("bands"),
+            *([F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")).alias("first")] if keyed else []),
         ),
         "classes",
     )
@@ -297,13 +284,41 @@ def near_groups(
     if not again.isEmpty():
         roots = components(links.union(again))
 
-    named = classes.select("set_key", "node", "first_id").join(roots, "node", "left")
+    first = ["first"] if keyed else []
+    named = classes.select("set_key", "node", "first_id", *first).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    firsts = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(firsts, "root").select("set_key", "component_id")
+    firsts = named.groupBy("root").agg(F.min("first_id").alias("component_id"), *(F.min(c).alias(c) for c in first))
+    named = named.select("set_key", "root").join(firsts, "root").select("set_key", "component_id", *first)
+    columns = ["doc_id", "n_shingles", "set_key", *(["text_key"] if keyed else [])]
+    return sketched.select(*columns).join(named, "set_key", "left")
+
+
+def near_groups(
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    rows: int = ROWS,
+    bands: int = BANDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Texts are linked if 100 * |intersection| >= percent * |union| of their sets of
+    ``size``-word shingles; every link that counts was checked on the full sets. Texts of
+    one set form a class. Sketches propose classes that share a band. In each bucket all
+    classes are checked against its first one; classes of a bucket that are then still in
+    different components are checked with each other. So a bucket of near copies costs
+    checks in proportion to its size, but for those that stay apart, and none is capped.
+
+    ``component_id`` is the least id reachable over links, ``kept`` whether it is the
+    row's own. Null and empty texts have no shingles and stand alone. Null ids never
+    name a component unless all its ids are null; repeated rows share a component. An
+    empty table gives no rows; other columns are not read.
+    """
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     return (
-        sketched.select("doc_id", "n_shingles", "set_key")
-        .join(named, "set_key", "left")
+        _in_groups(texts, size, percent, rows, bands)
         .select(
             "doc_id",
             "n_shingles",
@@ -313,10 +328,42 @@ def near_groups(
     )
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of each group of ``near_groups``; all columns stay."""
-    gone = near_groups(docs, id_col=id_col, text_col=text_col, **how).where("NOT kept")
-    gone = gone.select(F.col("doc_id").alias("id")).distinct()
+def without_near_copies(
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    rows: int = ROWS,
+    bands: int = BANDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each group of ``near_groups``; all columns stay.
+
+    The row with the smallest id stays, null ids after all others, then the one with the
+    smallest hash of its text; of rows with one id and text one stays. Rows without words
+    stand alone and all stay.
+    """
+    text_key = lambda text: F.unhex(F.sha2(text_or_empty(text), 256))
+    texts = docs.select(
+        F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), text_key(text_col).alias("text_key")
+    )
+    name = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+    marks = written(
+        _in_groups(texts, size, percent, rows, bands)
+        .where("set_key IS NOT NULL")
+        .withColumn("gone", ~name.eqNullSafe(F.col("first")))
+        .groupBy("doc_id", "text_key")
+        .agg(F.first("gone").alias("gone"), F.count("*").alias("c"))
+        .where("gone OR c > 1"),
+        "marks",
+    )
     # the whole row in one column, so that no name of it meets those used here
-    rows = docs.select(F.struct("*").alias("doc"))
-    return rows.join(gone, F.col("doc").getField(id_col).eqNullSafe(F.col("id")), "left_anti").select("doc.*")
+    whole = docs.select(F.struct("*").alias("doc"), text_key(text_col).alias("_key"))
+    row_id = F.col("doc").getField(id_col)
+    same = row_id.eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))
+    stay = whole.join(marks, same, "left_anti").select("doc.*")
+    repeated = marks.where("NOT gone")
+    if repeated.isEmpty():
+        return stay
+    once = whole.join(repeated, same, "left_semi").groupBy(row_id.alias("_id"), "_key").agg(F.first("doc").alias("doc"))
+    return stay.union(once.select("doc.*"))

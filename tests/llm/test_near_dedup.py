@@ -98,3 +98,26 @@ def test_rows_stay_whole(docs_of, odd_rows):
     ids = [r.doc_id for r in out.collect()]
     assert {2, 7} & set(ids) == set() and {1, 3, 4, 5, 6, 9, 10, 11, 12} <= set(ids)
     assert near_groups(docs.limit(0)).count() == 0
+
+
+def test_rows_go_by_id_and_text(docs_of):
+    words = [f"w{i}" for i in range(60)]
+    text = lambda name, more="": " ".join(f"{name}{w}" for w in words) + more
+    rows = [
+        (1, text("a"), "s1"),
+        (None, text("a", " more"), "s1"),  # a near copy
+        (None, text("b"), "s1"),  # alone, as the next one
+        (None, text("c"), "s2"),
+        (5, text("a", " again"), "s1"),  # a near copy; its id has a text of its own, too
+        (5, text("d"), "s1"),
+        (6, text("e"), "s1"),
+        (6, text("e"), "s1"),  # repeated, and near copies with the same id
+        (6, text("e", " more"), "s2"),
+        (None, text("f"), "s1"),
+        (None, text("f", " more"), "s1"),
+        (8, None, "s1"),
+        (8, "", "s1"),
+    ]
+    got = without_near_copies(docs_of(rows), size=5).collect()
+    kinds = sorted((str(r.doc_id), (r.text or "")[:1]) for r in got)
+    assert kinds == [("1", "a"), ("5", "d"), ("6", "e"), ("8", ""), ("8", ""), ("None", "b"), ("None", "c"), ("None", "f")]
