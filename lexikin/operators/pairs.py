@@ -21,6 +21,8 @@ from lexikin.storage import durable
 BLOCK_ROWS = 4096
 DRAWS_PER_BUCKET = 100_000
 DRAWS_AT_FIRST = 3
+#: After so many draws for each ordered pair, a pair not met has a chance of e ** -32.
+DRAWS_OF_EACH = 32
 
 # Fixed value: a prime below 2**31, so that products of two residues fit a long.
 PRIME = 2147483647
@@ -82,16 +84,28 @@ def scrambled(number: Column, salt: int) -> Column:
     return F.pmod(mixed * 16807 + F.lit(salt), F.lit(PRIME))
 
 
+def drawn(number: Column, salt: int, below: int) -> Column:
+    """A pseudo-random number from 0 to ``below`` - 1.
+
+    Residues serve for the first ``PRIME`` numbers and few enough values to reach each;
+    a 64-bit hash for all else, where residues would come again or leave values out.
+    """
+    hashed = F.pmod(F.xxhash64(number, F.lit(salt)), F.lit(below))
+    if below > PRIME // 64:
+        return hashed
+    return F.when(number < PRIME, F.pmod(scrambled(number, salt), F.lit(below))).otherwise(hashed)
+
+
 def draws(words: DataFrame, rows: int, count: int, seed: int) -> DataFrame:
     """``count`` ordered pairs of different rows, drawn with replacement."""
     if rows < 2:
         raise ValueError("drawing pairs needs at least two words")
-    drawn = words.sparkSession.range(count).select(
+    picked = words.sparkSession.range(count).select(
         F.col("id").alias("draw"),
-        F.pmod(scrambled(F.col("id"), seed), F.lit(rows)).alias("a_idx"),
-        (F.pmod(scrambled(F.col("id"), seed + 7919), F.lit(rows - 1)) + 1).alias("step"),
+        drawn(F.col("id"), seed, rows).alias("a_idx"),
+        (drawn(F.col("id"), seed + 7919, rows - 1) + 1).alias("step"),
     )
-    drawn = drawn.withColumn("b_idx", F.pmod(F.col("a_idx") + F.col("step"), F.lit(rows)))
+    picked = picked.withColumn("b_idx", F.pmod(F.col("a_idx") + F.col("step"), F.lit(rows)))
 
     n = shuffle_partitions(words)
 
@@ -100,7 +114,7 @@ def draws(words: DataFrame, rows: int, count: int, seed: int) -> DataFrame:
         key = f"{prefix}idx"
         return pairs.repartition(n, key).join(side.repartition(n, key), key)
 
-    return attach(attach(drawn.drop("step"), "a_"), "b_")
+    return attach(attach(picked.drop("step"), "a_"), "b_")
 
 
 def _lcs_below(ratio: float) -> Column:
@@ -149,7 +163,8 @@ def negative_pairs(
 
     At most ``target * max_draws_per_negative`` draws are made, so fewer than
     ``target`` pairs may come out. If the rule finds none, pairs more than half of
-    whose letters differ are taken instead.
+    whose letters differ are taken instead; these are drawn until there are ``target``
+    of them, unless no two words differ so.
     """
     if target <= 0:
         raise ValueError("negative pairs need a positive target; were there no positive pairs?")
@@ -172,9 +187,14 @@ def negative_pairs(
         found = apart.limit(1).count()
     if found == 0:
         half = F.floor(F.greatest(F.col("a_len"), F.col("b_len")) / 2)
-        apart = draws(signed, rows, most, params.seed).where(
-            F.levenshtein("a_word", "b_word") > half
-        )
+        count = most
+        while True:
+            apart = draws(signed, rows, count, params.seed).where(F.levenshtein("a_word", "b_word") > half)
+            found = apart.count()
+            # so many draws meet every pair: there is none to be found
+            if found >= target or (found == 0 and count >= DRAWS_OF_EACH * rows * (rows - 1)):
+                break
+            count = 4 * count if found == 0 else max(2 * count, count * target // found * 5 // 4)
     return _featured(first_by_draw(apart, target, count), 0.0, ["draw"])
 
 

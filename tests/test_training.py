@@ -70,6 +70,25 @@ def test_loose_rule_and_errors(spark):
         pairs.negative_pairs(alike.where("idx = 0"), 4)
 
 
+def test_draws_do_not_come_again(frame, words, monkeypatch):
+    monkeypatch.setattr(pairs, "PRIME", 20011)
+    number = F.col("id")
+    got = pairs.draws(frame, len(words), 40022, 42).where("draw % 20011 < 1000").collect()
+    pair = {r.draw: (r.a_idx, r.b_idx) for r in got}
+    assert sum(pair[d] == pair[d + 20011] for d in range(1000)) < 20
+    many = frame.sparkSession.range(1000).select(pairs.drawn(number, 42, 2**40).alias("x"))
+    assert many.where("x >= 4294967296").count() > 900
+
+
+def test_loose_rule_goes_on(spark):
+    rows = [(i, "abcdefgh", "abcdefgh") for i in range(30)] + [(30, "hgfedcba", "hgfedcba")]
+    alike = spark.createDataFrame(rows, "idx long, word string, stem string")
+    params = TrainingParams(negative_lcs_ratio=0.0, max_draws_per_negative=2)
+    got = pairs.negative_pairs(alike, 40, params).collect()
+    assert len(got) == 40 and all({r.a_word, r.b_word} == {"abcdefgh", "hgfedcba"} for r in got)
+    assert pairs.negative_pairs(alike.where("idx < 3"), 4, params).count() == 0
+
+
 def test_training_and_evaluation(frame):
     labelled = pairs.training_pairs(frame)
     counts = {r.label: r.pairs for r in pairs.label_counts(labelled).collect()}
