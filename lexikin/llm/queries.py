@@ -8,15 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexikin.llm.exact_dedup import exact_groups
+from lexikin.llm.filter_audit import filter_audit
 from lexikin.llm.line_dedup import without_spread_lines
 from lexikin.llm.mixing import mixed_rows
 from lexikin.llm.near_dedup import near_groups
 from lexikin.llm.nearest import nearest
 from lexikin.llm.pieces import decoded, encoded
 from lexikin.llm.sharding import interleaved_shards
+from lexikin.llm.suffix_dedup import without_repeats
 from lexikin.llm.token_files import read_token_files, write_token_files
 from lexikin.llm.toxicity import train_toxicity, with_toxicity
 from lexikin.llm.url_rules import url_verdicts
+from lexikin.llm.whitening import whitened
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -103,6 +106,35 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, files)
 
 
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents").select("doc_id", "text"), length=200).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitened(table(spark, folder, "embeddings").select("vec_id", "embedding"), components=8)
+    each = rows.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return each.select(
+        F.col("row.vec_id").alias("vec_id"),
+        (F.col("at") + 1).alias("component"),
+        "n",
+        F.expr("try_cast(deviation AS long)").alias("deviation"),
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return filter_audit(docs, table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,5 +148,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pieces,
         op9_line_dedup,
         op10_token_files,
+        op11_suffix_dedup,
+        op12_whitening,
+        op13_filter_audit,
     )
 }

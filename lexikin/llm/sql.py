@@ -29,4 +29,53 @@ SELECT doc_id, count(*) AS lines, count(*) FILTER (gone) AS removed_lines,
 FROM m GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op9_line_dedup": OP9}
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    min(doc_id) OVER (PARTITION BY text) AS first
+  FROM d
+), f AS (
+  SELECT doc_id, part, list_value(
+    len(words) < 50,
+    100 * len(list_distinct(words)) < 65 * len(words),
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+    regexp_matches(text, '[#$%&*|]'),
+    coalesce(first < doc_id, false)) AS fails
+  FROM w
+), m AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), s AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN m USING (doc_id) GROUP BY part, fails
+), l AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), p AS (
+  SELECT filter_order, step, strpos('ABCDE', filter_order[step]) AS own,
+    [strpos('ABCDE', filter_order[k]) for k in range(1, step)] AS earlier
+  FROM o, (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS hit, fails,
+    len([k for k in earlier if fails[k]]) > 0 AS gone
+  FROM s, p
+), g AS (
+  SELECT part, filter_order, step::INTEGER AS step, own,
+    coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (hit AND len([x for x in fails if x]) = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM r GROUP BY ALL
+)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM g
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op9_line_dedup": OP9, "op13_filter_audit": OP13}
