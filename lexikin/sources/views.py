@@ -30,8 +30,9 @@ def vocabulary(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFr
     """``idx, word, stem, meaning``: the words of a table's texts in alphabetical order;
     the meaning tells how often the word occurs."""
     words = word_counts(table(spark, sf_dir, name), text)
-    numbered = with_row_index(words, ["word"])
-    return with_stems(numbered).select(
+    # the numbered copy is written, so each word is stemmed once
+    numbered = with_row_index(with_stems(words), ["word"])
+    return numbered.select(
         "idx", "word", "stem", F.col("freq").cast("string").alias("meaning")
     )
 

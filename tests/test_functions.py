@@ -12,7 +12,18 @@ from lexikin.functions.signature import (
     packed_lcs_length,
     with_signature,
 )
-from lexikin.functions.stemming import stem, stem_word
+from lexikin.functions.stemming import (
+    ADJECTIVES,
+    DOUBLE_SUFFIXES,
+    ENDINGS,
+    IRREGULAR,
+    PLURALS,
+    RESTORED,
+    classes,
+    letter_classes,
+    stem,
+    stem_word,
+)
 from lexikin.functions.text import clean_meaning, clean_word, word_index_vector
 from lexikin.functions.vectors import vector_similarity
 from lexikin.operators.scoring import ConstantProbability, score_pairs
@@ -139,3 +150,17 @@ def test_rendering(spark):
     assert tuple(got[1]) == ("", "", "[]")
     with pytest.raises(ValueError):
         format_hits(F.col("h"), "other")
+
+
+def test_stems_as_expressions_equal_the_plain_ones(spark):
+    rng = random.Random(7)
+    endings = [*(s for s, _ in PLURALS + RESTORED + DOUBLE_SUFFIXES + ADJECTIVES), *ENDINGS, "ied", "eed", "ed", "ing", "y", "yy", "e", "ll", "tt"]
+    words = {"", "a", "by", "yyyy", "ayyyyb", "yayyyb", *IRREGULAR}
+    for _ in range(4000):
+        start = "".join(rng.choice("aeioubcdlmnrstvwxyz") for _ in range(rng.randint(0, 6)))
+        words.add(start + "".join(rng.choice(endings) for _ in range(rng.randint(0, 3))))
+    frame = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
+    got = frame.select("w", stem("w").alias("s"), classes(F.col("w")).alias("c"))
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    for r in got.collect():
+        assert (r.s, r.c) == ((stem_word(r.w), letter_classes(r.w)) if r.w is not None else (None, None))
