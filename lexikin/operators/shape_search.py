@@ -12,7 +12,8 @@ things keep the work small:
   above the floor are all scored, so pruning never changes the result.
 
 A small query table is broadcast against the dictionary, which is then scanned in
-place. A larger one meets the dictionary in tiles of bounded size.
+place. A larger one meets it through an inverted index of letters at places and of
+shortened forms (``segments``), in the subsequence form of f2 in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -23,7 +24,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexikin.functions.compute import compute_once
 from lexikin.functions.shape import char_ratio, edit_ratio, longer, sequence_ratio
-from lexikin.functions.signature import SIGNATURE, equal_positions_ceiling, with_signature
+from lexikin.functions.signature import (
+    SIGNATURE,
+    equal_positions_ceiling,
+    letter_pairs,
+    with_signature,
+)
+from lexikin.operators import segments
 from lexikin.operators.attach import attach_by_key
 from lexikin.operators.scoring import (
     SLACK,
@@ -35,9 +42,12 @@ from lexikin.operators.scoring import (
 )
 from lexikin.operators.sizes import rows_up_to, shuffle_partitions
 from lexikin.params import ShapeParams
+from lexikin.storage import durable
 
 LONGEST_NEIGHBOUR_WORD = 64
 BAND_OF_HALVES = 2
+#: A rule floor below this leaves most of a band open; such floors are raised first.
+WEAK_FLOOR = 0.39
 
 
 @dataclass(frozen=True)
@@ -155,13 +165,7 @@ def score_floors(
     # a pair met by several keys is scored once
     near = near.dropDuplicates(["a_word", "a_stem", "b_word", "b_stem"])
     scored = score_pairs(near, model, params).where(F.col("score") > params.min_score)
-    order = Window.partitionBy("a_word", "a_stem").orderBy(F.desc("score"))
-    return (
-        scored.select("a_word", "a_stem", "score")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") == k)
-        .select("a_word", "a_stem", F.col("score").alias("floor"))
-    )
+    return _ordered_best(scored, k)
 
 
 def _leading_rows(dictionary: DataFrame, k: int) -> DataFrame:
@@ -217,6 +221,44 @@ def _tiled_join(a: DataFrame, b: DataFrame, keep: Column, params: ShapeParams, t
     return left.join(right.hint("shuffle_hash"), same_tile & keep).drop(*on)
 
 
+def _ordered_best(scored: DataFrame, k: int) -> DataFrame:
+    """``(a_word, a_stem, floor)``: the k-th best score, where there are so many."""
+    order = Window.partitionBy("a_word", "a_stem").orderBy(F.desc("score"))
+    placed = scored.select("a_word", "a_stem", "score").withColumn("place", F.row_number().over(order))
+    return placed.where(F.col("place") == k).select("a_word", "a_stem", F.col("score").alias("floor"))
+
+
+def _once(met: list[DataFrame], keep: Column) -> DataFrame:
+    """The pairs of several parts that pass the cheap tests, each once, with grams."""
+    pairs = met[0].where(keep)
+    for part in met[1:]:
+        pairs = pairs.unionByName(part.where(keep))
+    pairs = pairs.dropDuplicates(["a_word", "a_stem", "b_word", "b_stem"])
+    return pairs.withColumns({f"{s}grams": letter_pairs(f"{s}word") for s in ("a_", "b_")})
+
+
+def _with_raised_floors(a, b, keep: Column, model, k: int, params: ShapeParams, plan: SearchPlan) -> DataFrame:
+    """``a`` with better floors for queries whose own rule little out, from the words that
+    share letters at two places."""
+    width = params.max_len_diff
+    near = a.where(F.col("a_rule_floor") < WEAK_FLOOR).withColumn("len", F.explode(_band("a_len", width)))
+    near = near.withColumn("need", F.lit(2)).where((F.least("a_len", "len") >= 2) & (F.col("len") <= segments.LONGEST))
+    scored = _scored_candidates(_once([segments.met_by_places(near, b, plan.tile_rows)], keep), model, params)
+    floors = _ordered_best(scored, k)
+    raised = F.when(F.col("floor").isNull(), F.col("a_rule_floor")).otherwise(
+        F.greatest("a_rule_floor", rule_floor(F.col("floor"), params))
+    )
+    return a.join(floors, ["a_word", "a_stem"], "left").withColumn("a_rule_floor", raised).drop("floor")
+
+
+def indexed_parts(
+    a: DataFrame, b: DataFrame, keep: Column, model, k: int, params: ShapeParams, plan: SearchPlan
+) -> list[DataFrame]:
+    """The pairs that the inverted index brings together, by edits, places and length."""
+    a = durable(_with_raised_floors(a, b, keep, model, k, params, plan))
+    return segments.met(a, b, params, plan.tile_rows)
+
+
 def _scored_candidates(pairs: DataFrame, model: ProbabilitySource | None, params: ShapeParams):
     """Edit cut, rule cut against the floor, then features and score."""
     longest = longer("a_", "b_")
@@ -262,40 +304,75 @@ def hits_by_word(
     """
     n = rows_up_to(words, plan.broadcast_queries)
     few = n is not None
+    indexed = not few and params.f2_mode == "positional"
     if few:
         narrow = dictionary.select("word", "stem", "idx")
         if n >= plan.floors_from:
             # work per row grows with the queries, so rows are spread by number, not bytes
             narrow = narrow.repartition(shuffle_partitions(dictionary), "idx")
         b = _side(narrow, "b_", "idx")
-        rows = [F.col("b_idx")]
     else:
         b = _side(_leading_rows(dictionary, k), "b_", "rows")
-        rows = [F.explode("b_rows").alias("b_idx")]
-
-    a = signed = _side(words, "a_")
-    floor = F.lit(params.min_score)
-    if n is None or n >= plan.floors_from:
-        floors = score_floors(a, b, model, k, params, plan, broadcast=few)
-        floors = F.broadcast(floors) if few else floors
-        a = a.join(floors, ["a_word", "a_stem"], "left")
-        floor = F.coalesce(F.col("floor"), floor)
-    a = compute_once(a, {"a_rule_floor": rule_floor(floor, params)}).select(
-        "a_word", "a_stem", *[f"a_{c}" for c in SIGNATURE], "a_rule_floor"
-    )
+        b = durable(b) if indexed else b
+    a, signed = query_floors(words, b, n, model, k, params, plan)
 
     keep = _lookalike(params) & can_reach_rule("a_", "b_", F.col("a_rule_floor"), params)
     if few:
         probes = a.withColumn("band", F.explode(_band("a_len", params.max_len_diff)))
         pairs = b.join(F.broadcast(probes), (F.col("b_len") == F.col("band")) & keep)
+    elif indexed:
+        pairs = _once(indexed_parts(durable(a), b, keep, model, k, params, plan), keep)
     else:
         # tiles are counted on the words, not on a plan that would compute the floors
         tiles = _largest_length(signed, "a_"), _largest_length(b, "b_")
         pairs = _tiled_join(a, b, keep, params, *(_tiles(n, plan.tile_rows) for n in tiles))
 
     scored = _scored_candidates(pairs, model, params)
-    scored = scored.select("a_word", "a_stem", "b_word", "b_len", *rows, "score")
-    return _best(scored, k)
+    if indexed:
+        scored = scored.join(b.select("b_word", "b_stem", "b_rows"), ["b_word", "b_stem"])
+    rows = F.col("b_idx") if few else F.explode("b_rows").alias("b_idx")
+    return _best(scored.select("a_word", "a_stem", "b_word", "b_len", rows, "score"), k)
+
+
+def query_floors(
+    words: DataFrame, b: DataFrame, n: int | None, model, k: int, params: ShapeParams, plan: SearchPlan
+) -> tuple[DataFrame, DataFrame]:
+    """The signed query words with their ``a_rule_floor``, and without."""
+    a = signed = _side(words, "a_")
+    floor = F.lit(params.min_score)
+    if n is None or n >= plan.floors_from:
+        floors = score_floors(a, b, model, k, params, plan, broadcast=n is not None)
+        floors = F.broadcast(floors) if n is not None else floors
+        a = a.join(floors, ["a_word", "a_stem"], "left")
+        floor = F.coalesce(F.col("floor"), floor)
+    a = compute_once(a, {"a_rule_floor": rule_floor(floor, params)}).select(
+        "a_word", "a_stem", *[f"a_{c}" for c in SIGNATURE], "a_rule_floor"
+    )
+    return a, signed
+
+
+def compared_pairs(
+    words: DataFrame,
+    dictionary: DataFrame,
+    model: ProbabilitySource | None = None,
+    k: int = 10,
+    params: ShapeParams = ShapeParams(),
+    plan: SearchPlan = SearchPlan(),
+) -> DataFrame:
+    """``part, pairs``: how many pairs the index of a large search brings together, in each
+    of its parts, and how many the length band holds."""
+    b = durable(_side(_leading_rows(dictionary, k), "b_", "rows"))
+    a = durable(query_floors(words, b, None, model, k, params, plan)[0])
+    keep = _lookalike(params) & can_reach_rule("a_", "b_", F.col("a_rule_floor"), params)
+    parts = indexed_parts(a, b, keep, model, k, params, plan)
+    counted = [p.agg(F.lit(name).alias("part"), F.count("*").alias("pairs")) for name, p in zip(("edits", "places", "length"), parts)]
+    lengths = b.groupBy("b_len").agg(F.count("*").alias("n"))
+    band = a.select(F.explode(_band("a_len", params.max_len_diff)).alias("b_len")).groupBy("b_len").agg(F.count("*").alias("m"))
+    counted.append(band.join(lengths, "b_len").agg(F.lit("band").alias("part"), F.sum(F.col("m") * F.col("n")).alias("pairs")))
+    out = counted[0]
+    for c in counted[1:]:
+        out = out.unionByName(c)
+    return out
 
 
 def similar_shape(

@@ -5,11 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
-from lexikin.functions.stemming import stem_word
+from lexikin.functions.signature import with_signature
+from lexikin.functions.stemming import stem, stem_word
+from lexikin.operators import segments
 from lexikin.operators.attach import attach_by_key
 from lexikin.operators.scoring import FixedLogit
 from lexikin.operators.semantic_search import SemanticPlan, nearest_rows, similar_semantic
-from lexikin.operators.shape_search import SearchPlan, candidate_pairs, similar_shape
+from lexikin.operators.shape_search import SearchPlan, candidate_pairs, compared_pairs, similar_shape
 from lexikin.params import ShapeParams
 
 LOGIT = FixedLogit([3.0, 6.0, 2.0, 1.0, 1.0, 5.0, 1.0], -9.0)
@@ -136,3 +138,38 @@ def test_unknown_metric(spark):
     empty = spark.createDataFrame([], "qid long, meaning string, vec array<double>")
     with pytest.raises(ValueError):
         similar_semantic(empty, empty.withColumnRenamed("qid", "idx"), metric="chebyshev")
+
+
+def test_index_meets_all_pairs_that_reach_a_floor(spark, rows):
+    """For every floor, all pairs in the band whose rule score reaches it are met."""
+    words = sorted({w for _, w, _ in rows} | {"x" * 45, "x" * 44 + "y", "thereonx", "hereont", "therenoo"})
+    signed = with_signature(spark.createDataFrame([(w, w) for w in words], "word string, stem string"))
+    a = signed.select(*[F.col(c).alias(f"a_{c}") for c in signed.columns])
+    b = signed.select(*[F.col(c).alias(f"b_{c}") for c in signed.columns])
+    for floor in (-0.5, 0.3, 0.4, 0.45, 0.6, 0.8):
+        for most in (5, 10_000):
+            parts = segments.met(a.withColumn("a_rule_floor", F.lit(floor)), b, ShapeParams(), most)
+            met = {(r.a_word, r.b_word) for p in parts for r in p.select("a_word", "b_word").collect()}
+            for x in words:
+                for y in words:
+                    if x != y and abs(len(x) - len(y)) <= 3:
+                        f = plain.features(x, y, x, y)
+                        assert (f[1] + f[5]) / 2 < floor - 1e-9 or (x, y) in met, (x, y, floor)
+
+
+def test_index_compares_fewer_pairs_than_the_band(spark):
+    rng = random.Random(4)
+    bases = ["".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(7, 10))) for _ in range(60)]
+    near = [w[:i] + rng.choice("uvwxyz") + w[i + 1 :] for w in bases for i in rng.sample(range(7), 4)]
+    words = spark.createDataFrame([(w, w) for w in {*bases, *near}], "word string, stem string")
+    counts = compared_pairs(words, words.withColumn("idx", F.monotonically_increasing_id()), LOGIT, 3).collect()
+    pairs = {r.part: r.pairs for r in counts}
+    assert set(pairs) == {"edits", "places", "length", "band"}
+    assert sum(n for p, n in pairs.items() if p != "band") < 0.3 * pairs["band"]
+
+
+def test_searches_run_without_python(spark, dictionary):
+    queries = dictionary.select(F.col("idx").alias("qid"), "word").withColumn("stem", stem("word"))
+    for plan in (PLANS["floors"], PLANS["tiles"]):
+        text = similar_shape(queries, dictionary, LOGIT, 5, plan=plan)._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in text and "MapInPandas" not in text
