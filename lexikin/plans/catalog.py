@@ -78,6 +78,23 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
     return tokenize_meaning(cleaned).select("doc_id", tokens_text("meaning_tokens").alias("tokens"))
 
 
+# The letters a-z and as many Han characters that stand for them, as the given
+# texts hold no Han runs.
+LATIN, HAN = "abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x5000, 0x501A)))
+
+
+def tokens_by_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """The letters of all documents as Han runs, split along the words of the benchmark texts."""
+    words = word_counts(table(spark, sf, "benchmark"), "text")
+    lexicon = words.select(F.translate("word", LATIN, HAN).alias("word"), "freq")
+    texts = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("idx"), F.translate(F.lower(F.coalesce("text", F.lit(""))), LATIN, HAN).alias("meaning_clean")
+    )
+    split = tokenize_meaning(texts, lexicon)
+    joined = F.translate(F.array_join("meaning_tokens", " "), HAN, LATIN)
+    return split.select(F.col("idx").alias("doc_id"), joined.alias("tokens"))
+
+
 def index_vectors(spark: SparkSession, sf: str) -> DataFrame:
     codes = word_index_vector("word").cast("array<string>")
     return _document_words(spark, sf).select("word", F.array_join(codes, ",").alias("codes"))
@@ -334,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "clean_words": clean_words,
     "clean_meanings": clean_meanings,
     "tokenize": tokens,
+    "tokenize_lexicon": tokens_by_lexicon,
     "word_index_vector": index_vectors,
     "stem": stems,
     "lemma": lemmas,

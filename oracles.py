@@ -331,6 +331,27 @@ ORACLES: dict[str, str] = {
     "tokenize": "SELECT doc_id, CASE WHEN len(t) = 0 THEN '[]' ELSE concat('[''', "
     "array_to_string(t, ''', '''), ''']') END AS tokens FROM (SELECT doc_id, "
     f"list_filter({_cut_pieces}, lambda t: t NOT IN ({_stops})) AS t FROM documents)",
+    "tokenize_lexicon": f"WITH RECURSIVE lex AS ({words_of('benchmark', 'text')}), "
+    "tot AS (SELECT ln(sum(freq)) AS total, max(length(word)) AS longest FROM lex), "
+    "doc AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+|[0-9]+|[，,。？?！!；;]') AS p FROM documents), "
+    "cut AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos FROM doc), "
+    "runs AS (SELECT DISTINCT piece FROM cut WHERE regexp_full_match(piece, '[a-z]+') AND length(piece) > 1), "
+    "place AS (SELECT piece, unnest(range(1, length(piece) + 1)) AS spot FROM runs), "
+    "part AS (SELECT piece, spot, unnest(range(1, least(longest, length(piece) - spot + 1) + 1)) AS size FROM place, tot), "
+    "opts AS (SELECT piece, spot, list({'w': ln(freq) - total, 'size': size}) AS o FROM part "
+    "JOIN lex ON word = substr(piece, spot, size), tot GROUP BY piece, spot), "
+    "r AS (SELECT piece, length(piece) + 1 AS spot, [CAST(0 AS DOUBLE)] AS best, CAST([] AS BIGINT[]) AS steps FROM runs "
+    "UNION ALL SELECT piece, spot, list_prepend(c.w, best), list_prepend(c.size, steps) FROM "
+    "(SELECT r.piece, r.spot - 1 AS spot, best, steps, list_sort([{'w': x.w + best[x.size], 'size': x.size} "
+    "FOR x IN coalesce(o, [{'w': -total, 'size': CAST(1 AS BIGINT)}])], 'DESC')[1] AS c "
+    "FROM r CROSS JOIN tot LEFT JOIN opts ON opts.piece = r.piece AND opts.spot = r.spot - 1 WHERE r.spot > 1)), "
+    "walk AS (SELECT piece, CAST(1 AS BIGINT) AS next, steps, CAST([] AS VARCHAR[]) AS t FROM r WHERE spot = 1 "
+    "UNION ALL SELECT piece, next + steps[next], steps, list_append(t, substr(piece, next, steps[next])) FROM walk "
+    "WHERE next <= length(piece)), "
+    "best AS (SELECT piece, t FROM walk WHERE next > length(piece)) "
+    "SELECT doc_id, coalesce(tokens, '') AS tokens FROM documents LEFT JOIN (SELECT doc_id, "
+    "string_agg(coalesce(array_to_string(t, ' '), cut.piece), ' ' ORDER BY pos) AS tokens "
+    "FROM cut LEFT JOIN best USING (piece) GROUP BY doc_id) USING (doc_id)",
     "word_index_vector": "SELECT word, array_to_string(list_transform(range(1, 21), lambda i: "
     "CASE WHEN substr(word, i, 1) = '' THEN 0 ELSE instr('abcdefghijklmnopqrstuvwxyz', substr(word, i, 1)) END), ',') "
     f"AS codes FROM ({words_of('documents', 'text')})",

@@ -73,3 +73,21 @@ def search(word, stem, rows, prob, k, mode="positional"):
         if value > 0.1:
             found.append((idx, value))
     return sorted(found, key=lambda r: -r[1])[:k]
+
+
+def best_path(run, lexicon):
+    """Split ``run`` so that the product of the word probabilities is largest.
+
+    A place where no word of ``lexicon`` (word -> frequency) starts yields one character
+    of frequency 1. Of equally good splits the one with the longer next word is taken.
+    """
+    total = math.log(sum(lexicon.values()) or 1)
+    best, step = [0.0] * (len(run) + 1), [1] * (len(run) + 1)
+    for at in range(len(run) - 1, -1, -1):
+        found = [(n, lexicon[run[at : at + n]]) for n in range(1, len(run) - at + 1) if run[at : at + n] in lexicon]
+        best[at], step[at] = max((math.log(f) - total + best[at + n], n) for n, f in found or [(1, 1)])
+    tokens, at = [], 0
+    while at < len(run):
+        tokens.append(run[at : at + step[at]])
+        at += step[at]
+    return tokens
