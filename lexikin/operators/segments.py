@@ -89,7 +89,7 @@ def _narrow(df: DataFrame, prefix: str, *more: str) -> DataFrame:
     return df.select(*[f"{prefix}{c}" for c in CARRIED], *more)
 
 
-def _met(a: DataFrame, b: DataFrame, on: list[str], most: int) -> DataFrame:
+def met_on(a: DataFrame, b: DataFrame, on: list[str], most: int) -> DataFrame:
     """Join on ``on``; the rows of ``b`` with one key are spread in parts of about ``most``."""
     hot = b.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
     hot = hot.select(*on, F.ceil(F.col("n") / most).cast("int").alias("salts"))
@@ -98,7 +98,8 @@ def _met(a: DataFrame, b: DataFrame, on: list[str], most: int) -> DataFrame:
         return a.join(b.hint("merge"), on)
     hot = F.broadcast(hot) if few else hot
     salts = F.coalesce("salts", F.lit(1))
-    b = b.join(hot, on, "left").withColumn("salt", F.pmod(F.xxhash64("b_word", "b_stem"), salts).cast("int")).drop("salts")
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in b.columns]), salts).cast("int")
+    b = b.join(hot, on, "left").withColumn("salt", spread).drop("salts")
     a = a.join(hot, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     return a.join(b.hint("merge"), [*on, "salt"]).drop("salt")
 
@@ -107,7 +108,7 @@ def met_by_edits(a: DataFrame, b: DataFrame, params: ShapeParams, most: int) ->
     """Pairs that share a shortened form, some more than once."""
     left = _narrow(a, "a_", "a_rule_floor", F.explode(shortened("a_word")).alias("form"))
     right = _narrow(b, "b_", F.explode(shortened("b_word")).alias("form"))
-    return _met(left, right, ["form"], most).where(F.abs(F.col("a_len") - F.col("b_len")) <= params.max_len_diff).drop("form")
+    return met_on(left, right, ["form"], most).where(F.abs(F.col("a_len") - F.col("b_len")) <= params.max_len_diff).drop("form")
 
 
 def needs(a: DataFrame, params: ShapeParams) -> DataFrame:
@@ -141,13 +142,13 @@ def met_by_places(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
     left = _narrow(left, "a_", "a_rule_floor", "pattern", _letters("a_word").alias("letters"))
     right = b.join(places.withColumnRenamed("len", "b_len"), "b_len")
     right = _narrow(right, "b_", "pattern", _letters("b_word").alias("letters"))
-    return _met(left, right, ["pattern", "letters"], most).drop("pattern", "letters")
+    return met_on(left, right, ["pattern", "letters"], most).drop("pattern", "letters")
 
 
 def met_by_length(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
     """Pairs of the lengths at which a query's floor rules nothing out."""
     left = _narrow(a.where(F.col("need") == OPEN), "a_", "a_rule_floor", "len")
-    return _met(left, _narrow(b, "b_", F.col("b_len").alias("len")), ["len"], most).drop("len")
+    return met_on(left, _narrow(b, "b_", F.col("b_len").alias("len")), ["len"], most).drop("len")
 
 
 def met(a: DataFrame, b: DataFrame, params: ShapeParams, most: int) -> list[DataFrame]:

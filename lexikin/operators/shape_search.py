@@ -25,8 +25,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexikin.functions.compute import compute_once
 from lexikin.functions.shape import char_ratio, edit_ratio, longer, sequence_ratio
 from lexikin.functions.signature import (
+    LETTER_SET,
     SIGNATURE,
     equal_positions_ceiling,
+    letter_mask,
     letter_pairs,
     with_signature,
 )
@@ -44,6 +46,7 @@ from lexikin.operators.sizes import rows_up_to, shuffle_partitions
 from lexikin.params import ShapeParams
 from lexikin.storage import durable
 
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 LONGEST_NEIGHBOUR_WORD = 64
 BAND_OF_HALVES = 2
 #: A rule floor below this leaves most of a band open; such floors are raised first.
@@ -80,21 +83,53 @@ def _lookalike(params: ShapeParams, a: str = "a_", b: str = "b_") -> Column:
     )
 
 
+def _rarest_first(dictionary: DataFrame) -> str:
+    """The alphabet, the letters that the fewest words hold first."""
+    letters = dictionary.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).where("c <> ''")
+    counts = {r["c"]: r["count"] for r in letters.groupBy("c").count().collect()}
+    return "".join(sorted(ALPHABET, key=lambda c: (counts.get(c, 0), c)))
+
+
+def _by_prefix(df: DataFrame, prefix: str, order: str, least: float) -> DataFrame:
+    """A row for each letter that may be the rarest one that a word shares with another, if
+    the two share ``least`` of all their letters. Letters are bits, the rarest the lowest."""
+    ranked = F.translate(F.col(f"{prefix}word"), order, ALPHABET)
+    df = compute_once(df.withColumn("_ranked", ranked), {f"{prefix}set": letter_mask("_ranked").bitwiseAND(F.lit(LETTER_SET))})
+    held = F.filter(F.sequence(F.lit(0), F.lit(25)), lambda i: F.getbit(F.col(f"{prefix}set"), i) == 1)
+    size = F.bit_count(f"{prefix}set")
+    most = size - F.ceil(size * least - SLACK).cast("int") + 1
+    return df.withColumn("letter", F.explode(F.slice(held, F.lit(1), F.greatest(most, F.lit(0))))).drop("_ranked")
+
+
 def candidate_pairs(
-    queries: DataFrame, dictionary: DataFrame, params: ShapeParams = ShapeParams()
+    queries: DataFrame,
+    dictionary: DataFrame,
+    params: ShapeParams = ShapeParams(),
+    plan: SearchPlan = SearchPlan(),
 ) -> DataFrame:
     """Pairs within the length band, of different words, sharing enough letters.
 
     ``queries`` and ``dictionary`` carry ``word, stem``; their other columns come
-    along with the prefixes ``a_`` and ``b_``. The band is an equi-join: the query
-    side is repeated once per admissible length.
+    along with the prefixes ``a_`` and ``b_``. Two letter sets of Jaccard similarity t
+    share a letter among the first |A| - t |A| + 1 of either, in any order of the letters;
+    with the rarest letters first, that is the join key beside the length, and a pair is
+    kept at its first common letter only.
     """
     extra = [c for c in queries.columns if c not in ("word", "stem")]
-    a = _side(queries, "a_", *extra).withColumn(
-        "band", F.explode(_band("a_len", params.max_len_diff))
-    )
+    a = _side(queries, "a_", *extra)
     b = _side(dictionary, "b_", *[c for c in dictionary.columns if c not in ("word", "stem")])
-    return a.join(b, (F.col("band") == F.col("b_len")) & _lookalike(params)).drop("band")
+    keep = _lookalike(params)
+    if params.min_char_ratio <= 0:
+        a = a.withColumn("band", F.explode(_band("a_len", params.max_len_diff)))
+        return segments.met_on(a, b.withColumn("band", F.col("b_len")), ["band"], plan.tile_rows).where(keep).drop("band")
+    order = _rarest_first(dictionary)
+    a = _by_prefix(a, "a_", order, params.min_char_ratio)
+    a = a.withColumn("band", F.explode(_band("a_len", params.max_len_diff)))
+    b = _by_prefix(b, "b_", order, params.min_char_ratio).withColumn("band", F.col("b_len"))
+    common = F.col("a_set").bitwiseAND(F.col("b_set"))
+    first = common.bitwiseAND(-common) == F.expr("shiftleft(1L, letter)")
+    met = segments.met_on(a, b, ["band", "letter"], plan.tile_rows)
+    return met.where(first & keep).drop("band", "letter", "a_set", "b_set")
 
 
 def _shortened(word: str) -> Column:

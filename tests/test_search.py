@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -173,3 +174,17 @@ def test_searches_run_without_python(spark, dictionary):
     for plan in (PLANS["floors"], PLANS["tiles"]):
         text = similar_shape(queries, dictionary, LOGIT, 5, plan=plan)._jdf.queryExecution().executedPlan().toString()
         assert "ArrowEvalPython" not in text and "MapInPandas" not in text
+
+
+@pytest.mark.parametrize("least", [0.0, 0.3, 0.5, 1.0])
+def test_candidates_equal_brute_force(spark, rows, least):
+    words = [w for _, w, _ in rows] + ["banana", "nab"]
+    frame = spark.createDataFrame([(w, w, i) for i, w in enumerate(words)], "word string, stem string, place long")
+    params = ShapeParams(min_char_ratio=least)
+    ratio = lambda x, y: len(set(x) & set(y)) / len(set(x) | set(y)) if x and y else 0.0
+    want = Counter(
+        (x, i, y, j) for i, x in enumerate(words) for j, y in enumerate(words) if x != y and abs(len(x) - len(y)) <= 3 and ratio(x, y) >= least
+    )
+    for plan in (SearchPlan(), SearchPlan(tile_rows=10)):
+        got = candidate_pairs(frame, frame, params, plan)
+        assert Counter((r.a_word, r.a_place, r.b_word, r.b_place) for r in got.collect()) == want
