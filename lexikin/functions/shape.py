@@ -144,21 +144,26 @@ def position_ratio(shifts: Column, longest: Column) -> Column:
 
 
 def with_features(
-    pairs: DataFrame, a: str = "a_", b: str = "b_", f2_mode: str = "positional"
+    pairs: DataFrame,
+    a: str = "a_",
+    b: str = "b_",
+    f2_mode: str = "positional",
+    given: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add f1..f7 to pairs that carry both sides' word, stem and signature."""
-    counted = compute_once(
-        pairs,
-        {
-            "f1": char_ratio(a, b),
-            "f2": sequence_ratio(a, b, f2_mode),
-            "common_grams": F.size(F.array_intersect(f"{a}grams", f"{b}grams")),
-            "f4": root_match(a, b),
-            "f5": length_ratio(a, b),
-            "f6": edit_ratio(a, b),
-            "shifts": position_shifts(a, b),
-        },
-    )
+    """Add f1..f7 to pairs that carry both sides' word, stem and signature.
+
+    ``given`` holds features that are known already, by name.
+    """
+    made = {
+        "f1": char_ratio(a, b),
+        "f2": sequence_ratio(a, b, f2_mode),
+        "common_grams": F.size(F.array_intersect(f"{a}grams", f"{b}grams")),
+        "f4": root_match(a, b),
+        "f5": length_ratio(a, b),
+        "f6": edit_ratio(a, b),
+        "shifts": position_shifts(a, b),
+    }
+    counted = compute_once(pairs, made | (given or {}))
     f3 = set_ratio(F.col("common_grams"), F.size(f"{a}grams"), F.size(f"{b}grams"))
     return counted.select(
         *pairs.columns, "f1", "f2", f3.alias("f3"), "f4", "f5", "f6",

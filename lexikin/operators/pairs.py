@@ -58,8 +58,8 @@ def _signed(words: DataFrame) -> DataFrame:
     return with_signature(words.select("idx", "word", "stem"))
 
 
-def _featured(pairs: DataFrame, label: float, extra: list[str]) -> DataFrame:
-    return with_features(pairs).select(
+def _featured(pairs: DataFrame, label: float, extra: list[str], given: dict[str, Column] | None = None) -> DataFrame:
+    return with_features(pairs, given=given).select(
         *extra, "a_idx", "b_idx", "a_word", "b_word",
         *[f"f{i}" for i in range(1, 8)], F.lit(label).alias("label"),
     )
@@ -73,7 +73,7 @@ def positive_pairs(words: DataFrame, params: TrainingParams = TrainingParams())
         near.where(gap <= params.max_len_diff),
         {"f2_": positional_ratio("a_", "b_"), "f6_": edit_ratio("a_", "b_")},
     ).where((F.col("f2_") > params.positive_f2) & (F.col("f6_") > params.positive_f6))
-    return _featured(close, 1.0, [])
+    return _featured(close, 1.0, [], {"f2": F.col("f2_"), "f6": F.col("f6_")})
 
 
 def scrambled(number: Column, salt: int) -> Column:
@@ -199,10 +199,11 @@ def negative_pairs(
 
 
 def training_pairs(words: DataFrame, params: TrainingParams = TrainingParams()) -> DataFrame:
-    """Positive and negative pairs, ``negative_ratio`` negatives to a positive."""
+    """Positive and negative pairs, ``negative_ratio`` negatives to a positive; 0 stands
+    for as many as there are positives."""
     # counted here and read again by the caller
     positive = durable(positive_pairs(words, params))
-    target = int(positive.count() * params.negative_ratio)
+    target = int(positive.count() * (params.negative_ratio or 1.0))
     negative = negative_pairs(words, target, params)
     return positive.withColumn("draw", F.lit(-1).cast("long")).unionByName(negative)
 

@@ -77,12 +77,14 @@ def score_pairs(
     params: ShapeParams = ShapeParams(),
     a: str = "a_",
     b: str = "b_",
+    given: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add f1..f7, ``ml_prob`` and ``score`` to pairs carrying both signatures.
 
-    The score is 0 beyond the length band and below the edit cut.
+    The score is 0 beyond the length band and below the edit cut. ``given`` holds
+    features that are known already.
     """
-    scored = pair_probability(with_features(pairs, a, b, params.f2_mode), model)
+    scored = pair_probability(with_features(pairs, a, b, params.f2_mode, given), model)
     gap = F.abs(F.col(f"{a}len") - F.col(f"{b}len"))
     blended = final_score(F.col("f2"), F.col("f6"), F.col("ml_prob"), params)
     score = (

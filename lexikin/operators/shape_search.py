@@ -26,6 +26,7 @@ from lexikin.functions.compute import compute_once
 from lexikin.functions.shape import char_ratio, edit_ratio, longer, sequence_ratio
 from lexikin.functions.signature import (
     LETTER_SET,
+    PACKED_LETTERS,
     SIGNATURE,
     equal_positions_ceiling,
     letter_mask,
@@ -309,7 +310,12 @@ def _scored_candidates(pairs: DataFrame, model: ProbabilitySource | None, params
         (F.col("edit_sim") >= params.min_edit_sim)
         & ((F.col("f2_max") + F.col("edit_sim")) / 2 >= F.col("a_rule_floor") - SLACK)
     )
-    return score_pairs(cut, model, params).where(F.col("score") > params.min_score)
+    # the words of a pair differ, so the edit similarity is f6
+    given = {"f2": F.col("f2_max"), "f6": F.col("edit_sim")}
+    if params.f2_mode == "positional":
+        beyond = sequence_ratio("a_", "b_", params.f2_mode)
+        given["f2"] = F.when(longest <= PACKED_LETTERS, F.col("f2_max")).otherwise(beyond)
+    return score_pairs(cut, model, params, given=given).where(F.col("score") > params.min_score)
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:

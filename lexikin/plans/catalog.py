@@ -19,9 +19,9 @@ from lexikin.operators.preprocess import tokenize_meaning, with_lemma
 from lexikin.operators.scoring import FixedLogit, pair_probability, score_pairs
 from lexikin.operators.semantic_search import SemanticPlan, similar_semantic
 from lexikin.operators.shape_search import SearchPlan, candidate_pairs, similar_shape
-from lexikin.params import ShapeParams
+from lexikin.params import ShapeParams, TrainingParams
 from lexikin.plans.batch import build_similarity_table, similar_both
-from lexikin.sources.dictionary import read_dictionary, write_results
+from lexikin.sources.dictionary import all_charsets, read_dictionary, write_results
 from lexikin.sources.views import (
     document_dictionary,
     table,
@@ -30,7 +30,7 @@ from lexikin.sources.views import (
     with_stems,
     word_counts,
 )
-from lexikin.storage import scratch_folder
+from lexikin.storage import durable, scratch_folder
 from lexikin.streaming.lookup import stream_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,6 +159,14 @@ def negative(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.negative_pairs(words, target).select("draw", "a_word", "b_word", "label")
 
 
+def negative_by_loose_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """A strict rule that no pair meets, so pairs with more than half of their letters apart."""
+    words = _benchmark(spark, sf)
+    target = int(pairs.positive_pairs(words).count() * 2)
+    none = TrainingParams(max_len_diff=1_000_000, negative_lcs_ratio=0.0)
+    return pairs.negative_pairs(words, target, none).select("draw", "a_word", "b_word", "label")
+
+
 def label_counts(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.label_counts(pairs.training_pairs(_benchmark(spark, sf)))
 
@@ -304,6 +312,24 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_dictionary(spark, folder).select("word", "meaning")
 
 
+def csv_in_gb18030(spark: SparkSession, sf: str) -> DataFrame:
+    """The document dictionary as CSV in another encoding, which the reader has to find."""
+    folder = scratch_folder(spark, "csv")
+    words = document_dictionary(spark, sf).select("word", F.concat(F.lit("义"), "meaning").alias("meaning"))
+    with all_charsets(spark):
+        words.write.option("header", True).option("escape", '"').option("encoding", "GB18030").csv(folder)
+    return read_dictionary(spark, folder).select("word", "meaning")
+
+
+def csv_first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The reader's row cap: the first 100 rows of the CSV in the order of its columns."""
+    folder = scratch_folder(spark, "csv")
+    document_dictionary(spark, sf).select("word", "meaning").write.option("header", True).option(
+        "escape", '"'
+    ).csv(folder)
+    return read_dictionary(spark, folder, max_rows=100, order_by=["word", "meaning"]).select("idx", "word", "meaning")
+
+
 def word_shape_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return shape_vectors(_document_words(spark, sf)).select("word", "vec")
 
@@ -320,6 +346,19 @@ def trained_model(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "classifier string, accuracy double, chosen boolean")
 
 
+def model_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted model's probability for every pair it was trained or checked on."""
+    training = durable(pairs.training_pairs(_benchmark(spark, sf)))
+    model = train_shape_model(training)
+    return model.with_probability(training).select("a_idx", "b_idx", "draw", "label", "ml_prob")
+
+
+def similarity_table_trained(spark: SparkSession, sf: str) -> DataFrame:
+    """The result table with a model fitted to the words of the benchmark texts."""
+    model = train_shape_model(pairs.training_pairs(_benchmark(spark, sf)))
+    return build_similarity_table(document_dictionary(spark, sf), model)
+
+
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vec"))
 
@@ -363,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "candidate_pairs": candidates,
     "positive_pairs": positive,
     "negative_pairs": negative,
+    "negative_pairs_loose": negative_by_loose_rule,
     "label_counts": label_counts,
     "score_pairs_fixed": scores,
     "evaluate_fixed": evaluation,
@@ -381,12 +421,16 @@ QUERIES: dict[str, Query] = {
     "format_hits": hit_lines,
     "stream_lookup": stream,
     "read_dictionary": csv_round_trip,
+    "read_dictionary_gb18030": csv_in_gb18030,
+    "read_dictionary_first_rows": csv_first_rows,
     "shape_vectors": word_shape_vectors,
     "meaning_vectors": document_vectors,
     "train_shape_model": trained_model,
+    "model_predictions": model_predictions,
     "cluster_kmeans": kmeans,
     "cluster_hierarchical": hierarchical,
     "project_2d": plane,
     "build_similarity_table": similarity_table,
+    "build_similarity_table_trained": similarity_table_trained,
     "write_results": result_file,
 }

@@ -379,6 +379,10 @@ ORACLES: dict[str, str] = {
     "positive_pairs": f"WITH {vocabulary('v', 'documents', 'text')}, p AS ({POSITIVE}) "
     "SELECT a_idx, b_idx, a_word, b_word, round(f2, 6) AS f2, round(f6, 6) AS f6 FROM p",
     "negative_pairs": f"WITH {BENCH}, {NEGATIVE} SELECT draw, a_word, b_word, CAST(0 AS DOUBLE) AS label FROM neg",
+    "negative_pairs_loose": f"WITH {BENCH}, {NEGATIVE}, loose AS (SELECT draw, a_word, b_word FROM picked "
+    "WHERE levenshtein(a_word, b_word) > greatest(la, lb) // 2 "
+    "QUALIFY row_number() OVER (ORDER BY draw) <= (SELECT goal FROM goal)) "
+    "SELECT draw, a_word, b_word, CAST(0 AS DOUBLE) AS label FROM loose",
     "label_counts": f"WITH {BENCH}, {NEGATIVE} SELECT CAST(1 AS DOUBLE) AS label, count(*) AS pairs FROM pos "
     "UNION ALL SELECT CAST(0 AS DOUBLE), count(*) FROM neg",
     "score_pairs_fixed": f"WITH {BENCH}, p AS (SELECT a.word AS a_word, b.word AS b_word, a.len AS la, b.len AS lb, {FEATURE_COLUMNS} FROM {NEXT}), "
@@ -421,6 +425,9 @@ ORACLES: dict[str, str] = {
         "",
     ),
     "read_dictionary": f"SELECT {HEADWORD} AS word, text AS meaning FROM documents",
+    "read_dictionary_gb18030": f"SELECT {HEADWORD} AS word, concat('义', text) AS meaning FROM documents",
+    "read_dictionary_first_rows": f"SELECT row_number() OVER (ORDER BY word, meaning) - 1 AS idx, word, meaning FROM "
+    f"(SELECT {HEADWORD} AS word, text AS meaning FROM documents) ORDER BY idx LIMIT 100",
 }
 ORACLES["stream_lookup"] = ORACLES["similar_shape_fixed"]
 # The plans of large query tables give the rows of the small ones.

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 import plain
 from lexikin.functions.shape import FEATURES
 from lexikin.functions.stemming import stem_word
+from lexikin.operators import model as model_module
 from lexikin.operators import pairs
 from lexikin.operators.model import evaluate_pairs, train_shape_model
 from lexikin.operators.scoring import pair_probability
 from lexikin.params import TrainingParams
+from lexikin.storage import durable
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +118,21 @@ def test_length_profile(frame, words):
     got = {r.len: r.words for r in pairs.length_profile(frame).collect()}
     assert sum(got.values()) == len(words) and got == {n: sum(len(w) == n for w in words) for n in set(map(len, words))}
     assert frame.agg(F.count(F.lit(1))).first()[0] == len(words)
+
+
+def test_model_does_not_depend_on_the_layout(frame, monkeypatch):
+    monkeypatch.setattr(model_module, "ROWS_PER_TASK", 100)
+    trees = model_module.classifiers
+    monkeypatch.setattr(model_module, "classifiers", lambda n, p: {"RF": trees(n, p)["RF"].setNumTrees(5)})
+    training = durable(pairs.training_pairs(frame))
+    seen = []
+    for parts in (1, 4, 8):
+        fitted = train_shape_model(training.repartition(parts, F.rand(parts)))
+        rows = fitted.with_probability(training).select("a_idx", "b_idx", "draw", "ml_prob").collect()
+        seen.append(sorted(map(tuple, rows)))
+    assert seen[0] == seen[1] == seen[2] and len({r[3] for r in seen[0]}) > 1
+
+
+def test_ratio_of_zero_means_as_many_negatives(frame):
+    counts = {r.label: r.pairs for r in pairs.label_counts(pairs.training_pairs(frame, TrainingParams(negative_ratio=0.0))).collect()}
+    assert counts[0.0] == counts[1.0]
