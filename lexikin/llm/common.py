@@ -13,6 +13,8 @@ WHITE = r"[\x20\x09-\x0D]+"
 #: Fixed value: a word is a run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 SETTING = "spark.checkpoint.dir"
+#: Marks of rows (33 bytes each) that are broadcast at most.
+MARKS = 1 << 20
 LOCAL_MASTER = re.compile(r"^local(\[|$)")
 
 
@@ -52,6 +54,38 @@ def digest(*columns: Column) -> list[Column]:
     return [F.xxhash64(*columns), F.xxhash64(F.lit(7), *columns)]
 
 
+def few(df: DataFrame, most: int) -> DataFrame:
+    """The written table ``df``, to be broadcast if it has at most ``most`` rows.
+
+    Its rows must have a fixed width, so that the count bounds the bytes.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def row_name(row_id: Column, text_sha: Column) -> Column:
+    """32 bytes that name all rows of one id and one text; a null id is an id of its own."""
+    known = F.coalesce(F.concat(F.lit("="), row_id.cast("string")), F.lit(""))
+    return F.unhex(F.sha2(F.concat(text_sha, known), 256))
+
+
+def without_rows(docs: DataFrame, names: Column, marks: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``marks`` (name, gone, c) drops.
+
+    ``names`` gives each row its name. All rows of a name that is gone go; of a name
+    that stays with c > 1 rows one row stays. ``marks`` holds no other names, so whole
+    rows move once at most, and not at all where the marks are few.
+    """
+    marks = written(marks.where("gone OR c > 1").select("name", "gone"), "marks")
+    # the whole row in one column, so that no name of it meets those used here
+    whole = docs.select(F.struct("*").alias("doc"), names.alias("name"))
+    stay = whole.join(few(marks, MARKS), "name", "left_anti").select("doc.*")
+    repeated = marks.where("NOT gone").select("name")
+    if repeated.isEmpty():
+        return stay
+    once = whole.join(few(repeated, MARKS), "name", "left_semi").groupBy("name").agg(F.first("doc").alias("doc"))
+    return stay.union(once.select("doc.*"))
+
+
 def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number the rows 0..n-1 in the given order, without gathering them in one task.
 

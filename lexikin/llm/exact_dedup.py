@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lexikin.llm.common import WHITE, digest, text_or_empty, written
+from lexikin.llm.common import WHITE, digest, row_name, text_or_empty, without_rows, written
 
 SHORTEST, LONGEST, CUT_ONE_IN = 128, 2048, 8
 
@@ -76,9 +76,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ),
         "recipes",
     )
-    key = ["text_sha256", "recipe"]
     groups = (
-        recipes.groupBy(*key)
+        recipes.groupBy("recipe")
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")).alias("first"),
             F.count("*").alias("group_size"),
@@ -87,7 +86,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     # written, so that the join below deals plain rows and a large group can be split
     groups = written(groups, "groups")
-    return recipes.join(groups, key, "left").select(
+    return recipes.join(groups, "recipe", "left").select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -96,25 +95,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` named in ``kept`` (doc_id, text_sha256), one for each name.
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``exact_groups`` drops; all columns stay.
 
     Rows with the same id and text count as one, of which one row stays.
     """
-    names = kept.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
-    # the whole row in one column, so that no name of it meets those used here
-    rows = docs.select(F.struct("*").alias("doc"), F.sha2(normalised(text_col), 256).alias("text_sha"))
-    row_id = F.col("doc").getField(id_col)
-    by_name = Window.partitionBy(row_id, "text_sha").orderBy(F.lit(1))
-    return (
-        rows.join(names, row_id.eqNullSafe(F.col("id")) & (F.col("text_sha") == F.col("sha")), "left_semi")
-        .withColumn("n", F.row_number().over(by_name))
-        .where("n = 1")
-        .select("doc.*")
-    )
-
-
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` drops; all columns stay."""
-    kept = exact_groups(docs, id_col, text_col).where("kept")
-    return keep_rows(docs, kept, id_col, text_col)
+    groups = exact_groups(docs, id_col, text_col)
+    by_name = groups.groupBy(row_name(F.col("doc_id"), F.col("text_sha256")).alias("name"))
+    marks = by_name.agg((~F.bool_or("kept")).alias("gone"), F.count("*").alias("c"))
+    names = row_name(F.col(f"`{id_col}`"), F.sha2(normalised(F.col(f"`{text_col}`")), 256))
+    return without_rows(docs, names, marks)

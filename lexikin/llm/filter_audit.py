@@ -6,7 +6,7 @@ from itertools import permutations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexikin.llm.common import WHITE, digest, text_or_empty, written
+from lexikin.llm.common import WHITE, digest, few, text_or_empty, written
 
 FILTERS = "ABCDE"
 BIT = {f: 1 << k for k, f in enumerate(FILTERS)}
@@ -42,8 +42,7 @@ def later_copies(docs: DataFrame) -> DataFrame:
     """
     hashes = docs.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
     hashes = written(hashes.withColumn("parts", F.ceil(F.col("n") / PART).cast("int")).drop("n"), "hashes")
-    few = F.broadcast(hashes) if hashes.limit(FEW + 1).count() <= FEW else hashes
-    many = docs.join(few, ["h1", "h2"])
+    many = docs.join(few(hashes, FEW), ["h1", "h2"])
     first = many.where("doc_id IS NOT NULL").groupBy("h1", "h2", "parts", "text").agg(F.min("doc_id").alias("first"))
     first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     rows = many.withColumn("salt", F.pmod(F.xxhash64("doc_id", "part"), F.col("parts")).cast("int")).alias("a")

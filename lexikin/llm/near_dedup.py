@@ -11,7 +11,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lexikin.llm.common import text_or_empty, written
+from lexikin.llm.common import row_name, text_or_empty, without_rows, written
 from lexikin.llm.graph import components
 
 #: Rows of a band and bands. A pair of similarity 0.8 misses all bands with
@@ -343,27 +343,18 @@ def without_near_copies(
     smallest hash of its text; of rows with one id and text one stays. Rows without words
     stand alone and all stay.
     """
-    text_key = lambda text: F.unhex(F.sha2(text_or_empty(text), 256))
+    text_key = lambda text: F.sha2(text_or_empty(text), 256)
     texts = docs.select(
-        F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), text_key(text_col).alias("text_key")
+        F.col(id_col).alias("doc_id"),
+        text_or_empty(text_col).alias("text"),
+        F.unhex(text_key(text_col)).alias("text_key"),
     )
-    name = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
-    marks = written(
+    first = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+    marks = (
         _in_groups(texts, size, percent, rows, bands)
         .where("set_key IS NOT NULL")
-        .withColumn("gone", ~name.eqNullSafe(F.col("first")))
-        .groupBy("doc_id", "text_key")
+        .withColumn("gone", ~first.eqNullSafe(F.col("first")))
+        .groupBy(row_name(F.col("doc_id"), F.lower(F.hex("text_key"))).alias("name"))
         .agg(F.first("gone").alias("gone"), F.count("*").alias("c"))
-        .where("gone OR c > 1"),
-        "marks",
     )
-    # the whole row in one column, so that no name of it meets those used here
-    whole = docs.select(F.struct("*").alias("doc"), text_key(text_col).alias("_key"))
-    row_id = F.col("doc").getField(id_col)
-    same = row_id.eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))
-    stay = whole.join(marks, same, "left_anti").select("doc.*")
-    repeated = marks.where("NOT gone")
-    if repeated.isEmpty():
-        return stay
-    once = whole.join(repeated, same, "left_semi").groupBy(row_id.alias("_id"), "_key").agg(F.first("doc").alias("doc"))
-    return stay.union(once.select("doc.*"))
+    return without_rows(docs, row_name(F.col(id_col), text_key(text_col)), marks)

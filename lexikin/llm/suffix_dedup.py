@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lexikin.llm.common import digest, text_or_empty, written
+from lexikin.llm.common import digest, few, text_or_empty, written
 
 GRAM = 16
 #: Bytes worked on at once; longer texts are cut with an overlap of one window.
@@ -386,16 +386,16 @@ def repeated_ranges(texts: DataFrame, length: int = 200) -> DataFrame:
     narrow = texts.mapInArrow(_prefixes(length), "h1 long, h2 long, at long, prefix long")
     counted = narrow.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1")
     again = written(counted, "prefixes")
-    few, many = again.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    kinds, rows = again.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     again = again.select("prefix")
     whole = "prefix long, right binary, left binary, low int, high int, members binary"
-    if few <= FEW:
+    if kinds <= FEW:
         asked = texts.withColumn("_at", F.lit(None).cast("array<long>"))
         found = asked.mapInArrow(_suffixes(length), whole).join(F.broadcast(again), "prefix", "left_semi")
     else:
         places = narrow.join(again, "prefix", "left_semi").groupBy("h1", "h2").agg(F.collect_set("at").alias("_at"))
         found = texts.join(places, ["h1", "h2"]).mapInArrow(_suffixes(length), whole)
-    dealt = found.repartitionByRange(max(1, -(-many // BUCKET)), "right", "left", "members")
+    dealt = found.repartitionByRange(max(1, -(-rows // BUCKET)), "right", "left", "members")
     out = written(dealt.mapInArrow(_bucket(length), FOUND), "ranges")
     edge = out.where("f1 IS NOT NULL")
     across = edge.groupBy("f1", "f2").count().where("count > 1").select("f1", "f2")
@@ -423,9 +423,7 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text") -> D
     copies = written(
         keyed.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("one")).where("n > 1"), "copies"
     ).select("h1", "h2", "one", F.lit(True).alias("many"))
-    if copies.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:
-        copies = F.broadcast(copies)
-    marked = keyed.join(copies, ["h1", "h2"], "left")
+    marked = keyed.join(few(copies, FEW_TEXTS), ["h1", "h2"], "left")
     once = marked.where("many IS NULL")
     texts = once.union(marked.where("many AND one <=> id")).select("h1", "h2", own.alias("_text"))
     ranges = repeated_ranges(texts, length).groupBy("h1", "h2")
