@@ -9,6 +9,7 @@ import string
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -117,6 +118,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str, dtype: str) -> Encoder:
+    """The encoder of a file, made once in a worker process; it keeps the words met."""
+    return Encoder(path, dtype)
+
+
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder and the folder's path in it."""
     url = urlparse(folder)
@@ -175,7 +182,7 @@ def write_token_files(
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
         where, base = _place(folder)
-        encoder, sizes, ids, nulls = Encoder(tokenizer, dtype), [], [], []
+        encoder, sizes, ids, nulls = _encoder(tokenizer, dtype), [], [], []
 
         def encoded() -> Iterator[bytes]:
             for batch in batches:
