@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ START = -1
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Slots of the filter of piece hashes and of the pairs met lately, words kept, and
 #: characters that advance together.
-SLOT_BITS, PAIR_BITS, CACHED, TOGETHER = 20, 21, 1 << 18, 1 << 16
+SLOT_BITS, PAIR_BITS, CACHED, TOGETHER = 20, 21, 3 << 17, 1 << 16
 TOGETHER_ROWS = 256
 U = np.uint64
 
@@ -92,6 +93,8 @@ class PieceModel:
         self.maybe[self.keys >> U(64 - SLOT_BITS)] = True
         self.powers = np.cumprod(np.full(self.longest, BASE))
         self.powers = np.concatenate([[U(1)], self.powers])
+        if self.kind == BPE:
+            self._merges()
 
     def _found(self, key: np.ndarray) -> np.ndarray:
         """The place of each hash among the sorted keys, or -1."""
@@ -122,26 +125,102 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _stay_apart(self, pair: int) -> bool:
-        """Whether BPE leaves the two pieces of a pair side by side.
+    def _merges(self) -> None:
+        """Pieces by the order in which BPE makes them, and the two parts of each.
 
-        A cut of a text is its BPE encoding if and only if that holds for each pair of
-        neighbours, so each prefix has one piece at most that can end it.
+        ``made[p]`` is the rank of the merge that makes piece p (letters are made before
+        all merges), ``inner[p]`` its parts. Merges of one score (runs of marks) go by
+        place, not by rank; pieces that hold such a piece are ``slow``.
         """
-        before, text = pair >> 32, self.piece_of[pair & 0xFFFFFFFF]
-        if before == len(self.scores):
-            return self._merged(text) == [text]
-        return self._merged(self.piece_of[before] + text) == [self.piece_of[before], text]
+        texts, ids = list(self.piece_ids), np.array(list(self.piece_ids.values()))
+        order = np.argsort(-self.scores[ids], kind="stable")
+        self.made = np.full(len(self.scores), -1, np.int64)
+        self.made[ids[order]] = np.arange(len(ids))
+        letters = [i for t, i in self.piece_ids.items() if len(t) == 1]
+        self.made[letters] = -1
+        times = Counter(self.scores[i] for t, i in self.piece_ids.items() if len(t) > 1)
+        tied = [t for t, i in self.piece_ids.items() if len(t) > 1 and times[self.scores[i]] > 1]
+        self.slow = np.zeros(len(self.scores), bool)
+        if not set("".join(texts)) <= set(self.piece_ids):
+            tied = texts  # a letter that isn't a piece has no rank
+        if tied:
+            some = re.compile("|".join(map(re.escape, sorted(tied, key=len))))
+            self.slow[[i for t, i in self.piece_ids.items() if some.search(t)]] = True
+        width = np.int64(len(self.scores))
+        pairs = [
+            (self.piece_ids[t[:k]] * width + self.piece_ids[t[k:]], i)
+            for t, i in self.piece_ids.items()
+            for k in range(1, len(t))
+            if t[:k] in self.piece_ids and t[k:] in self.piece_ids
+        ]
+        pairs = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.pair_keys, self.pair_made = pairs[:, 0].copy(), self.made[pairs[:, 1]]
+        # a piece's last merge joins the one split whose halves BPE makes and leaves apart
+        self.inner = np.full((len(self.scores), 2), -1, np.int64)
+        self.formed = np.zeros(len(self.scores), bool)
+        self.formed[letters] = True
+        for i in np.nonzero(self.slow)[0].tolist():
+            self.formed[i] = self._merged(self.piece_of[i]) == [self.piece_of[i]]
+        by_length = defaultdict(list)
+        for key, i in pairs.tolist():
+            by_length[len(self.piece_of[i])].append((i, *divmod(key, width)))
+        for _, some in sorted(by_length.items()):
+            piece, left, right = np.array(some, np.int64).T
+            good = self.formed[left] & self.formed[right] & ~self.slow[piece]
+            good &= (self.made[left] < self.made[piece]) & (self.made[right] < self.made[piece])
+            piece, left, right = piece[good], left[good], right[good]
+            good = self._stay_apart(left, right, self.made[piece])
+            self.inner[piece[good]] = np.stack([left[good], right[good]], axis=1)
+            self.formed[piece[good]] = True
+
+    def _stay_apart(self, left: np.ndarray, right: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
+        """Whether BPE leaves the two pieces of each pair side by side.
+
+        Goes back in time along the cut: the pieces beside it come apart, the one made
+        last first, and at no time may the two then beside it have joined sooner than
+        either became part of its next larger piece. ``until`` is the time at which the
+        two do join, for those that make a piece.
+        """
+        good = np.ones(len(left), bool)
+        at, a, b = np.arange(len(left)), left, right
+        limit = np.full(len(left), len(self.scores), np.int64) if until is None else until
+        width = np.int64(len(self.scores))
+        while len(at):
+            key = a * width + b
+            place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+            joins = (self.pair_keys[place] == key) & (self.pair_made[place] < limit)
+            good[at[joins]] = False
+            made_a, made_b = self.made[a], self.made[b]
+            more = ~joins & ((made_a >= 0) | (made_b >= 0))
+            at, a, b, made_a, made_b = at[more], a[more], b[more], made_a[more], made_b[more]
+            # of equal merges the left one is made first
+            first = made_a > made_b
+            limit = np.where(first, made_a, made_b + 1)
+            a, b = np.where(first, self.inner[a, 1], a), np.where(first, b, self.inner[b, 0])
+        return good
 
     def _may_follow(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """``_stay_apart`` for many pairs; what was found lately is kept by slots."""
+        """Whether BPE leaves a piece beside the one before it (negative: none).
+
+        A cut of a text is its BPE encoding if and only if that holds for each pair of
+        neighbours, so each prefix has one piece at most that can end it. What was found
+        lately is kept by slots.
+        """
         key = (np.where(before < 0, len(self.scores), before) << 32) | piece
         slot = (key.view(U) * BASE >> U(64 - PAIR_BITS)).astype(np.int64)
         new = self.slot_key[slot] != key
         out = self.slot_ok[slot]
         if new.any():
             few, where = np.unique(key[new], return_inverse=True)
-            found = np.array([self._stay_apart(k) for k in few.tolist()])
+            first, second = few >> 32, few & 0xFFFFFFFF
+            found, inner = self.formed[second], first < len(self.scores)
+            slow = inner & self.slow[second]
+            slow[inner] |= self.slow[first[inner]]
+            fast = inner & ~slow
+            found[fast] &= self._stay_apart(first[fast], second[fast])
+            for i in np.nonzero(slow)[0].tolist():
+                both = [self.piece_of[int(first[i])], self.piece_of[int(second[i])]]
+                found[i] = self._merged("".join(both)) == both
             out[new] = found[where]
             self.slot_key[slot[new]] = key[new]
             # where two keys share a slot, one of them is kept, with its own answer
@@ -280,7 +359,13 @@ def _loaded(docs: DataFrame, path: str):
     """
     with open(path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    return lambda: PieceModel(shared.value)
+    return lambda: _model(shared.value)
+
+
+@lru_cache(maxsize=2)
+def _model(data: bytes) -> PieceModel:
+    """The model of a file, made once in a worker process."""
+    return PieceModel(data)
 
 
 def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, keep: list[str] | None, column_of):
