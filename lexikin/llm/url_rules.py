@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexikin.llm.common import written
@@ -46,120 +47,115 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_distinct(F.filter(runs, lambda t: t != ""))
 
 
-def _spread(df: DataFrame, bound: int = 100_000) -> DataFrame:
-    """``df``, to be broadcast if it has at most ``bound`` rows."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+def _spread(df: DataFrame, bound: int = 32 << 20) -> DataFrame:
+    """The written table ``df``, to be broadcast if its rows as text take ``bound`` bytes at most."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return F.broadcast(df) if (size or 0) <= bound else df
 
 
-def mined_rules(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8) -> DataFrame:
-    """tokens, closure, size, verdict, confidence, support: rules from ``labelled``
-    (tokens, verdict).
+def _counted(labelled: DataFrame, support: float, total: int) -> DataFrame:
+    """token, item, a, b: tokens that reach the support, with their counts of allowed and
+    blocked pages. Tokens on the same pages share an ``item``, the first of them."""
+    blocked = (F.col("verdict") == BLOCK).cast("long")
+    seen = labelled.groupBy("tokens").agg(F.sum(blocked).alias("b"), F.sum(1 - blocked).alias("a"))
+    pages = [F.bit_xor(F.xxhash64(F.lit(k), "tokens")).alias(f"h{k}") for k in (1, 2)]
+    each = seen.withColumn("token", F.explode("tokens")).groupBy("token")
+    each = each.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("kinds"), *pages)
+    each = written(each.where(F.greatest("a", "b") >= support * total), "url_tokens")
+    same = ["a", "b", "kinds", "h1", "h2"]
+    first = each.groupBy(*same).agg(F.min("token").alias("item"))
+    return written(each.join(first, same).select("token", "item", "a", "b"), "url_items")
+
+
+def _sure_rules(labelled: DataFrame, counted: DataFrame, total: int) -> DataFrame:
+    """Rules of single items whose pages all have one verdict; larger sets can't beat them."""
+    sure = counted.where("token = item AND (a = 0 OR b = 0)").select("item", "a", "b")
+    held = labelled.select("tokens").groupBy("tokens").count()
+    pages = held.select(F.explode("tokens").alias("item"), "tokens", "count").join(F.broadcast(sure), "item")
+    near = pages.select("item", "a", "b", "count", F.explode("tokens").alias("token"))
+    near = near.groupBy("item", "a", "b", "token").agg(F.sum("count").alias("n")).where("n = a + b")
+    return near.groupBy("item", "a", "b").agg(F.array_sort(F.collect_set("token")).alias("closure")).select(
+        F.array("item").alias("items"),
+        "closure",
+        F.lit(1).alias("size"),
+        F.when(F.col("a") > 0, ALLOW).otherwise(BLOCK).alias("verdict"),
+        F.lit(1.0).alias("confidence"),
+        (F.greatest("a", "b") / F.lit(total)).alias("support"),
+    )
+
+
+def _without_one(sets: DataFrame) -> DataFrame:
+    """Each set of two and more items, less one of them: part, left_out."""
+    sets = sets.where(F.size("items") > 1).withColumn("left_out", F.explode("items"))
+    return sets.withColumn("part", F.array_remove("items", F.col("left_out")))
+
+
+def mined_rules(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Rules (items, closure, size, verdict, confidence, support) from ``labelled``
+    (tokens, verdict), and the items (token, item, a, b) that they are about.
 
     Rules lead from a set of tokens to a verdict. They count if ``support`` (share of
     labelled pages that hold the set and have the verdict) and ``confidence`` reach the
     bounds. Every token that reaches the support takes part, in sets of any size.
 
-    Only sets are kept that no smaller one stands for: sets on the same pages have one
-    ``closure``, all tokens that those pages share, and are given by their least sets
-    (``tokens``); and a set whose pages all have one verdict isn't made larger, as that
-    can only lessen the support. So the best rule that fires is the one among all rules.
-    Sets grow by a token a round. Without labelled pages there are no rules.
+    FP-growth lists the frequent sets, with the verdict as one more item of a page. Tokens
+    that always occur together are one item in it, and an item whose pages all have one
+    verdict is a rule of its own. Of the rules only those stay that no smaller set is as
+    good as; sets on the same pages are given by the least one, whose ``closure`` holds
+    all tokens that those pages share. So the best rule that fires is the best of all.
+    Without labelled pages there are no rules.
     """
-    spark = labelled.sparkSession
-    empty = "tokens array<string>, closure array<string>, size int, verdict string, confidence double, support double"
     total = labelled.count()
-    if not total:
-        return spark.createDataFrame([], empty)
-    blocked = (F.col("verdict") == BLOCK).cast("long")
-    # one row for each set of tokens and its counts of blocked and other pages
-    seen = labelled.groupBy("tokens").agg(F.sum(blocked).alias("b"), F.sum(1 - blocked).alias("a"))
-    seen = written(seen, "url_tokens")
-    often = F.greatest("a", "b") >= support * total
-    some = (
-        seen.select(F.explode("tokens").alias("t"), "a", "b")
-        .groupBy("t")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        .where(often)
+    counted = _counted(labelled, support, total)
+    mixed = counted.where("token = item AND a > 0 AND b > 0").select("item").collect()
+    mixed = F.array(*[F.lit(r["item"]) for r in mixed]).cast("array<string>")
+    # "=" is in no token
+    pages = labelled.select(
+        F.concat(F.array_intersect("tokens", mixed), F.array(F.concat(F.lit("="), "verdict"))).alias("items")
     )
-    some = [r["t"] for r in some.select("t").collect()]
-    few = F.array_sort(F.array_intersect("tokens", F.array(*map(F.lit, sorted(some))).cast("array<string>")))
-    held = written(
-        seen.groupBy(few.alias("tokens"))
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        .withColumn("x", F.array().cast("array<string>")),
-        "url_sets",
+    sets = written(FPGrowth(minSupport=support).fit(pages).freqItemsets, "url_sets") if total else None
+    if sets is None:
+        spark = labelled.sparkSession
+        empty = "items array<string>, closure array<string>, size int, verdict string, confidence double, support double"
+        return spark.createDataFrame([], empty), counted
+    bare = F.array_sort(F.filter("items", lambda t: ~t.startswith("=")))
+    sets = sets.select(bare.alias("items"), F.filter("items", lambda t: t.startswith("=")).alias("to"), "freq")
+    sets = sets.where(F.size("items") > 0)
+    plain = sets.where(F.size("to") == 0).select("items", F.col("freq").alias("n"))
+    voted = sets.where(F.size("to") == 1).select("items", F.substring(F.col("to")[0], 2, 9).alias("verdict"), F.col("freq").alias("m"))
+    found = voted.join(plain, "items").withColumn("confidence", F.col("m") / F.col("n")).where(F.col("confidence") >= confidence)
+    found = written(found, "url_found")
+    strength = F.struct(F.col("confidence").alias("c"), F.col("m").alias("m"))
+    best = found.groupBy("items").agg(F.max(strength).alias("best")).withColumnRenamed("items", "part")
+    beaten = _without_one(found).join(best, "part").where(F.col("best") >= strength).select("items", "verdict").distinct()
+    kept = found.join(beaten, ["items", "verdict"], "left_anti")
+    # what all pages of a set share: items that can join it without losing a page
+    bases = plain.select(F.col("items").alias("part"), F.col("n").alias("all"))
+    shared = _without_one(plain).join(bases, "part").where("n = all").select(F.col("part").alias("items"), F.col("left_out").alias("item"))
+    own = kept.select("items", F.explode("items").alias("item")).union(shared.join(kept, "items", "left_semi").select("items", "item"))
+    named = own.distinct().join(_spread(counted.select("token", "item")), "item")
+    closures = named.groupBy("items").agg(F.array_sort(F.collect_set("token")).alias("closure"))
+    rules = kept.join(closures, "items").select(
+        "items", "closure", F.size("items").alias("size"), "verdict", "confidence", (F.col("m") / F.lit(total)).alias("support")
     )
-    # the sets of this round: x, a, b; at first the empty one, which is no rule
-    sets = held.groupBy("x").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    rules, size = None, 0
-    while True:
-        # counts of each set with one more token, be it new or shared by all its pages
-        more = (
-            held.select("x", F.explode(F.array_except("tokens", "x")).alias("t"), "a", "b")
-            .groupBy("x", "t")
-            .agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
-        )
-        more = written(more.join(_spread(sets), "x"), "url_more")
-        same = F.col("ta") + F.col("tb") == F.col("a") + F.col("b")
-        if size:
-            shared = more.where(same).groupBy("x").agg(F.collect_set("t").alias("shared"))
-            closed = sets.join(shared, "x", "left").select(
-                F.col("x").alias("tokens"),
-                F.array_sort(F.concat("x", F.coalesce("shared", F.array().cast("array<string>")))).alias("closure"),
-                F.size("x").alias("size"),
-                F.explode(F.array(F.struct(F.lit(ALLOW).alias("v"), F.col("a").alias("n")), F.struct(F.lit(BLOCK).alias("v"), F.col("b").alias("n")))).alias("to"),
-                (F.col("a") + F.col("b")).alias("all"),
-            )
-            found = closed.select(
-                "tokens", "closure", "size", F.col("to.v").alias("verdict"),
-                (F.col("to.n") / F.col("all")).alias("confidence"), (F.col("to.n") / F.lit(total)).alias("support"),
-            ).where((F.col("to.n") >= support * total) & (F.col("confidence") >= confidence))
-            found = written(found, "url_rules")
-            rules = found if rules is None else rules.unionByName(found)
-        grown = more.where(F.greatest("ta", "tb") >= support * total)
-        if size:
-            last = F.element_at("x", -1)
-            grown = grown.where(~same & (F.col("a") > 0) & (F.col("b") > 0) & (F.col("t") > last))
-        grown = grown.select(F.concat("x", F.array("t")).alias("x"), F.col("ta").alias("a"), F.col("tb").alias("b"))
-        if size:
-            # each set less one token is among those of this round, and on more pages
-            less = F.explode(F.transform("x", lambda t: F.array_except("x", F.array(t))))
-            parts = sets.where("a > 0 AND b > 0").select(F.col("x").alias("part"), (F.col("a") + F.col("b")).alias("n"))
-            least = (
-                grown.withColumn("part", less)
-                .join(_spread(parts), "part")
-                .where("n > a + b")
-                .groupBy("x", "a", "b")
-                .count()
-                .where(F.col("count") == size + 1)
-            )
-            grown = least.drop("count")
-        sets = written(grown, "url_sets")
-        if sets.isEmpty():
-            return rules if rules is not None else spark.createDataFrame([], empty)
-        added = F.filter("tokens", lambda t: (F.size("x") == 0) | (t > F.element_at("x", -1))) if size else F.col("tokens")
-        held = written(
-            held.select("tokens", "a", "b", "x", F.explode(added).alias("t"))
-            .select("tokens", "a", "b", F.concat("x", F.array("t")).alias("x"))
-            .join(_spread(sets.select("x")), "x", "left_semi"),
-            "url_sets",
-        )
-        size += 1
-
-
-def best_match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """key, mined: for each row of ``sets`` (key, tokens) the verdict of its best rule.
-
-    Rules form an inverted index from token to rule; a rule fires where the tokens found
+    return written(rules.unionByName(_sure_rules(labelled, counted, total)), "url_rules"), counted
+
+
+def best_match(sets: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
+    """key, mined: for each row of ``sets`` (key, an array of tokens) the verdict of its best rule.
+
+    Rules form an inverted index from item to rule; a rule fires where the items found
     are as many as it has, and then stands for the set of all its ``closure`` that the row
     has. The highest confidence decides, then support, then more tokens, then the order
     of the tokens. Rows without a firing rule are left out.
     """
-    index = rules.withColumn("rule", F.struct("confidence", "support", "tokens", "closure", "verdict"))
-    index = index.select(F.explode("tokens").alias("token"), "rule", "size")
+    index = rules.withColumn("rule", F.struct("confidence", "support", "items", "closure", "verdict"))
+    index = written(index.select(F.explode("items").alias("item"), "rule", "size"), "url_index")
+    found = sets.select("key", F.explode("key").alias("token")).join(_spread(items.select("token", "item")), "token")
     fired = (
-        sets.select("key", F.explode("tokens").alias("token"))
-        .join(_spread(index), "token")
+        found.select("key", "item")
+        .distinct()
+        .join(_spread(index), "item")
         .groupBy("key", "rule", "size")
         .count()
         .where("count = size")
@@ -194,15 +190,14 @@ def url_verdicts(
     read = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     judged = read.withColumn("given", given_rule(F.col("host"), F.col("path"), rules))
     judged = judged.withColumn("tokens", tokens_of(F.col("host"), F.col("path")))
-    found = mined_rules(
-        judged.where("given IS NOT NULL").select("tokens", F.col("given.verdict").alias("verdict")), **mining
-    )
+    labelled = judged.where("given IS NOT NULL").select("tokens", F.col("given.verdict").alias("verdict"))
+    found, items = mined_rules(written(labelled, "url_labelled"), **mining)
     known = found.select(F.explode("closure").alias("t")).agg(F.sort_array(F.collect_set("t"))).first()[0]
     # Pages with the same mined tokens are judged once; those sets are what is joined.
     key = F.array_sort(F.array_intersect("tokens", F.array(*map(F.lit, known)).cast("array<string>")))
     judged = judged.withColumn("key", F.when(F.col("given").isNull(), key))
-    sets = judged.where("key IS NOT NULL").select("key").distinct().withColumn("tokens", F.col("key"))
-    return judged.join(written(best_match(sets, found), "url_matches"), "key", "left").select(
+    sets = judged.where("key IS NOT NULL").select("key").distinct()
+    return judged.join(written(best_match(sets, found, items), "url_matches"), "key", "left").select(
         "page_id",
         "host",
         "path",
