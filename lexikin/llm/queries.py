@@ -51,6 +51,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         _held_out().alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.lit(model.pairs).cast("long").alias("swapped_sentences"),
     )
 
 

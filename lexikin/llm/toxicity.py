@@ -9,13 +9,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lexikin.llm.common import text_or_empty
+from lexikin.llm.common import text_or_empty, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Groups of terms for people that may stand for one another.
+#: A sentence ends with these signs or a line end.
+SENTENCE = re.compile(r"[.!?\n]+")
+#: Groups of terms for people that may stand for one another, by language.
 IDENTITY_TERMS = (
+    # English
     ("women", "men"),
     ("woman", "man"),
     ("female", "male"),
@@ -28,9 +32,36 @@ IDENTITY_TERMS = (
     ("immigrants", "natives", "refugees"),
     ("deaf", "blind", "disabled"),
     ("young", "old"),
+    # German
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("schwule", "lesben", "heteros"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch"),
+    ("ausländer", "einheimische", "flüchtlinge"),
+    ("taube", "blinde", "behinderte"),
+    # French
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("homosexuels", "lesbiennes", "hétérosexuels"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("immigrés", "réfugiés", "autochtones"),
+    ("sourds", "aveugles", "handicapés"),
+    # Spanish
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("niñas", "niños"),
+    ("homosexuales", "lesbianas", "heterosexuales"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("inmigrantes", "refugiados", "nativos"),
+    ("sordos", "ciegos", "discapacitados"),
 )
 PREFIXES = (4, 5, 6)
-CACHED = 1 << 20
+CACHED = 1 << 18
 
 
 def features_of(word: str) -> list[str]:
@@ -42,19 +73,22 @@ def words_of(text: str) -> set[str]:
     return set(LETTERS.findall(text.lower()))
 
 
-def swapped(words: set[str], groups: tuple[tuple[str, ...], ...]) -> set[str]:
-    """The words with each identity term replaced by the next of its group."""
-    after = {a: b for g in groups for a, b in zip(g, [*g[1:], g[0]], strict=True)}
-    return {after.get(w, w) for w in words}
+def next_terms(groups: tuple[tuple[str, ...], ...]) -> dict[str, str]:
+    """Each identity term with the next of its group."""
+    return {a: b for g in groups for a, b in zip(g, [*g[1:], g[0]], strict=True)}
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights of features; a text's score is the logistic sum over its features."""
+    """Weights of features; a text's score is the logistic sum over its features.
+
+    ``pairs`` is the number of sentences that were learnt from with their twins.
+    """
 
     features: tuple[str, ...]
     weights: np.ndarray
     bias: float
+    pairs: int = 0
 
     def scorer(self):
         weight = dict(zip(self.features, self.weights.tolist(), strict=True))
@@ -76,16 +110,24 @@ class ToxicityModel:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, most: int, id_col: str, text_col: str) -> DataFrame:
-    """At most ``most`` labelled texts: label, text. The choice is a seeded hash of ids."""
+    """At most ``most`` labelled texts: toxic, text. The choice is a seeded hash.
+
+    An id on several texts counts with each of them, rows of one id and text count once.
+    Labels, then (id, text) names are cut to ``most``; texts only move for names chosen.
+    """
+    by_id = [F.xxhash64(F.lit(29), "doc_id"), F.col("doc_id")]
     chosen = (
         labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id")
+        .orderBy(*by_id)
         .limit(most)
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    texts = texts.withColumn("hash", F.xxhash64("text"))
+    names = texts.select("doc_id", "hash").join(F.broadcast(chosen), "doc_id").distinct().orderBy(*by_id, "hash").limit(most)
+    found = texts.join(F.broadcast(written(names, "names")), ["doc_id", "hash"])
+    return found.groupBy("doc_id", "hash").agg(F.first("toxic").alias("toxic"), F.first("text").alias("text")).drop("doc_id", "hash")
 
 
 def _association(sample: DataFrame, least: int, features: int) -> list[str]:
@@ -137,7 +179,7 @@ def _fit(x: Lists, own: Lists, twin: Lists, y: np.ndarray, width: int, swap: flo
     """Logistic regression with a penalty on the score changes of swapped texts.
 
     Minimises mean log loss + swap * sum (z_own - z_twin)^2 / n + ridge * |w|^2 by Adam;
-    ``own`` and ``twin`` hold the texts that have identity terms, before and after the swap.
+    ``own`` and ``twin`` hold the sentences that have identity terms, before and after the swap.
     """
     n = len(y)
     w, bias = np.zeros(width), 0.0
@@ -155,6 +197,16 @@ def _fit(x: Lists, own: Lists, twin: Lists, y: np.ndarray, width: int, swap: flo
     return w, float(bias)
 
 
+def _twins(text: str, after: dict[str, str]) -> Iterator[tuple[set[str], set[str]]]:
+    """The words of each sentence with an identity term, and those of its swapped twin."""
+    if words_of(text).isdisjoint(after):
+        return
+    for sentence in SENTENCE.split(text):
+        words = words_of(sentence)
+        if not words.isdisjoint(after):
+            yield words, {after.get(w, w) for w in words}
+
+
 def train_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -165,49 +217,56 @@ def train_toxicity(
     ridge: float = 1e-5,
     steps: int = 400,
     groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
+    most_pairs: int = 20_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> ToxicityModel:
-    """Learn ``labels.toxic`` from whole texts, on at most ``most`` labelled documents.
+    """Learn ``labels.toxic`` from whole texts, on at most ``most`` labelled texts.
 
     Features are the words of a text and their first letters, present or not; those
-    that clearly go with one label are kept, at most ``features``. Each text with an
-    identity term has a twin in which such terms are swapped; ``swap`` weighs the
-    squared difference of their scores. Labels other than 0 and 1 and null ids take no
-    part; a document labelled both ways counts as toxic. Without labels of both kinds
-    every score is the share of toxic labels, or 0 without any.
+    that clearly go with one label are kept, at most ``features``. Each sentence of these
+    texts with a term of ``groups`` has a twin in which such terms are swapped for the
+    next of their group; ``swap`` weighs the squared difference of the two scores. At
+    most ``most_pairs`` sentences, chosen by a hash, are used so. Labels other than 0 and
+    1 and null ids take no part; a document labelled both ways counts as toxic; an id on
+    several texts lends each of them its label. Without labels of both kinds every score
+    is the share of toxic labels, or 0 without any.
     """
-    sample = sample_of(docs, labels, most, id_col, text_col)
+    sample = written(sample_of(docs, labels, most, id_col, text_col), "labelled_texts")
     names = _association(sample, least, features)
     index = {f: i for i, f in enumerate(names)}
 
+    def places(words: set[str]) -> list[int]:
+        return sorted({index[f] for w in words for f in features_of(w) if f in index})
+
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def places(words: set[str]) -> list[int]:
-            return sorted({index[f] for w in words for f in features_of(w) if f in index})
+        for batch in batches:
+            x = [places(words_of(t)) for t in batch.text]
+            yield pd.DataFrame({"toxic": batch.toxic, "x": x, "key": [_key(v, y) for v, y in zip(x, batch.toxic, strict=True)]})
+
+    after = next_terms(groups)
 
+    def twins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = [words_of(t) for t in batch.text]
-            x = [places(w) for w in words]
-            twin = [places(swapped(w, groups)) for w in words]
-            yield pd.DataFrame(
-                {
-                    "toxic": batch.toxic,
-                    "x": x,
-                    "twin": [None if a == b else b for a, b in zip(x, twin, strict=True)],
-                }
-            )
-
-    # a bounded sample of short lists; sorted, so that sums have one order
-    found = sample.mapInPandas(vectors, "toxic int, x array<int>, twin array<int>")
-    rows = found.orderBy("toxic", "x", "twin").toArrow().combine_chunks()
+            pairs = [(places(a), places(b)) for t in batch.text for a, b in _twins(t, after)]
+            pairs = [(a, b, _key(a, b)) for a, b in pairs]
+            yield pd.DataFrame(pairs, columns=["own", "twin", "key"])
+
+    # short lists of a bounded sample; sorted, so that sums have one order
+    rows = sample.mapInPandas(vectors, "toxic int, x array<int>, key long").toArrow().sort_by("key")
     y = rows["toxic"].to_numpy().astype(float)
     share = float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
         return ToxicityModel((), np.zeros(0), 40.0 if share else -40.0)
-    swapped_rows = rows.filter(rows["twin"].is_valid()).combine_chunks()
-    x, own, twin = (Lists(t[c].combine_chunks()) for t, c in ((rows, "x"), (swapped_rows, "x"), (swapped_rows, "twin")))
+    pairs = sample.mapInPandas(twins, "own array<int>, twin array<int>, key long").orderBy("key").limit(most_pairs)
+    pairs = pairs.toArrow().sort_by("key")
+    x, own, twin = (Lists(t[c].combine_chunks()) for t, c in ((rows, "x"), (pairs, "own"), (pairs, "twin")))
     w, bias = _fit(x, own, twin, y, len(names), swap, ridge, steps)
-    return ToxicityModel(tuple(names), w, bias)
+    return ToxicityModel(tuple(names), w, bias, len(pairs))
+
+
+def _key(*parts) -> int:
+    return xxhash.xxh3_64_intdigest(repr(parts).encode()) >> 1
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", name: str = "score") -> DataFrame:
