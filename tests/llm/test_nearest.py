@@ -102,7 +102,7 @@ def test_crowded_queries_are_cut(vectors_of, monkeypatch):
     rng = np.random.default_rng(8)
     centre = rng.normal(size=16)
     rows = [(i, (centre + 0.001 * rng.normal(size=16)).tolist()) for i in range(600)]
-    got = found(nearest(vectors_of(rows), vectors_of(rows), k=3, tables=1, probes=2, block=64))
+    got = found(nearest(vectors_of(rows), vectors_of(rows), k=3, tables=1, probes=16, block=64))
     assert len(got) == 600 and all(len(g) == 3 for g in got.values())
 
 
@@ -117,3 +117,21 @@ def test_rotations_keep_angles_and_nothing_gives_nothing(vectors_of):
     none = vectors_of([(0, [1.0, 2.0])])
     assert nearest(none, none).count() == 0
     assert nearest(none.limit(0), none.limit(0)).count() == 0
+
+
+def test_ids_with_several_vectors(vectors_of):
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(60)]
+    more = [(i, (np.array(v) + 0.01 * rng.normal(size=8)).tolist()) for i, v in rows[:20]]
+    asked = [(1000, rows[3][1]), (1000, rows[40][1]), (1000, rows[3][1]), (5, rows[6][1]), (6, rows[6][1])]
+    best = {}
+    for q, v in asked:
+        for i, w in rows + more:
+            if i != q:
+                a, b = np.float32(v).astype(float), np.float32(w).astype(float)
+                score = float(a @ b / np.sqrt((a @ a) * (b @ b)))
+                best[q, i] = max(best.get((q, i), -2), score)
+    got = found(nearest(vectors_of(rows + more), vectors_of(asked), k=4, probes=16))
+    for q in {q for q, _ in asked}:
+        ranked = sorted((-round(s, 9), i) for (p, i), s in best.items() if p == q)
+        assert got[q] == [i for _, i in ranked[:4]]
