@@ -33,8 +33,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources by flattened weights: every document at least once, none over twice."""
-    return mixed_rows(docs, repeats=2.0).select(*docs.columns)
+    """Sources by flattened weights: every document at least once, none over twice, in the
+    order of the mixture: pass by pass, and in each the blocks as permuted."""
+    mixed = mixed_rows(docs, repeats=2.0)
+    ordered = mixed.orderBy("mix_epoch", "mix_block_order", "mix_block", "mix_row_order")
+    return ordered.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
