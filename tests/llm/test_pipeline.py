@@ -1,4 +1,6 @@
+import os
 import random
+from collections import Counter
 
 import public_tokenizers
 import sentencepiece
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexikin.llm import queries
+from lexikin.llm.mixing import mixed_rows
 
 
 def corpus(folder, spark):
@@ -64,3 +67,44 @@ def test_queries_read_whole_tables(spark, tmp_path):
     assert queries.op6_sharding(spark, folder).agg(F.countDistinct("shard")).first()[0] == 16
     assert queries.op8_pieces(spark, folder).count() == len(docs)
     assert queries.op10_token_files(spark, folder).count() == len(docs)
+
+
+def test_mixture_keeps_its_order(spark, tmp_path):
+    folder = str(tmp_path)
+    corpus(folder, spark)
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    corpus_pipeline.mixing(spark, table, folder).write.parquet(f"{folder}/mixed")
+    order = ["mix_epoch", "mix_block_order", "mix_block", "mix_row_order"]
+    want = [r.doc_id for r in mixed_rows(table, repeats=2.0).orderBy(*order).collect()]
+    files = sorted(p for p in os.listdir(f"{folder}/mixed") if p.startswith("part-"))
+    got = [r.doc_id for p in files for r in spark.read.parquet(f"{folder}/mixed/{p}").collect()]
+    assert Counter(got) == Counter(want) and len(set(want)) < len(want)
+    epoch = {}
+    for r in mixed_rows(table, repeats=2.0).orderBy(*order).collect():
+        epoch.setdefault(r.doc_id, []).append(r.mix_epoch)
+    seen, passes = Counter(), []
+    for i in got:
+        passes.append(epoch[i][seen[i]])
+        seen[i] += 1
+    assert passes == sorted(passes)  # all documents once before any comes again
+
+
+def test_odd_tables_go_through(spark, tmp_path):
+    """Repeated rows, null columns, names that stages use inside, and empty tables."""
+    folder = str(tmp_path)
+    docs = corpus(folder, spark)
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = table.union(table.where("doc_id < 40")).withColumns(
+        {c: F.lit(None).cast("string") for c in ("score", "name", "doc", "row", "h1", "mix_weight", "text_sha256")}
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, folder)
+        assert out.columns == odd.columns
+        out.write.parquet(f"{folder}/odd_{name}")
+        odd = spark.read.parquet(f"{folder}/odd_{name}")
+    clean = {d[0] for d in docs if "grumbleface" not in (d[1] or "")} - set(range(1000, 3000)) - {3001}
+    assert {r.doc_id for r in odd.collect()} == clean
+    none = table.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, folder)
+        assert none.count() == 0
