@@ -14,6 +14,42 @@ SELECT doc_id,
 FROM t WINDOW g AS (PARTITION BY norm)
 """
 
+OP2 = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT row, doc_id, CASE WHEN len(words) < 2 THEN words
+    ELSE list_distinct([words[i] || ' ' || words[i + 1] for i in range(1, len(words))]) END AS sets
+  FROM w
+), c AS (
+  SELECT list_sort(sets) AS sets, min(row) AS node, len(any_value(sets)) AS n FROM s WHERE len(sets) > 0 GROUP BY list_sort(sets)
+), e AS (
+  SELECT node, n, unnest(sets) AS shingle FROM c
+), p AS (
+  SELECT a.node AS lo, b.node AS hi, a.n AS x, b.n AS y, count(*) AS common
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.node < b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY ALL
+), l AS (
+  SELECT lo, hi FROM p WHERE 100 * common >= 80 * (x + y - common)
+), d AS (
+  SELECT lo AS a, hi AS b FROM l UNION ALL SELECT hi, lo FROM l
+), r AS (
+  SELECT node, node AS root FROM c
+  UNION
+  SELECT r.node, d.b FROM r JOIN d ON r.root = d.a
+), k AS (
+  SELECT s.row, s.doc_id, s.sets, c.node FROM s LEFT JOIN c ON list_sort(s.sets) = c.sets
+), g AS (
+  SELECT r.node, min(k.doc_id) AS component_id FROM r JOIN k ON k.node = r.root GROUP BY r.node
+)
+SELECT doc_id, len(sets)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept
+FROM k LEFT JOIN g USING (node)
+"""
+
 OP9 = r"""
 WITH l AS (
   SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -78,4 +114,4 @@ WITH d AS (
 SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM g
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op9_line_dedup": OP9, "op13_filter_audit": OP13}
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_near_dedup": OP2, "op9_line_dedup": OP9, "op13_filter_audit": OP13}
