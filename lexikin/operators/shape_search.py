@@ -48,6 +48,8 @@ from lexikin.params import ShapeParams
 from lexikin.storage import durable
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+#: Prefix of the signature columns of a prepared dictionary.
+SIGNED = "signed_"
 LONGEST_NEIGHBOUR_WORD = 64
 BAND_OF_HALVES = 2
 #: A rule floor below this leaves most of a band open; such floors are raised first.
@@ -66,8 +68,14 @@ class SearchPlan:
 
 
 def _side(df: DataFrame, prefix: str, *keep: str) -> DataFrame:
-    """Signature, grams and ``keep`` columns of a word table, under one prefix."""
-    named = df.select(*[F.col(c).alias(f"{prefix}{c}") for c in ("word", "stem", *keep)])
+    """Signature, grams and ``keep`` columns of a word table, under one prefix.
+
+    A table that carries signatures already, as ``SIGNED`` columns, is taken as it is.
+    """
+    named = [F.col(c).alias(f"{prefix}{c}") for c in ("word", "stem", *keep)]
+    if f"{SIGNED}mask" in df.columns:
+        return df.select(*named, *[F.col(f"{SIGNED}{c}").alias(f"{prefix}{c}") for c in SIGNATURE])
+    named = df.select(*named)
     return with_signature(named, f"{prefix}word", prefix)
 
 
@@ -347,7 +355,7 @@ def hits_by_word(
     few = n is not None
     indexed = not few and params.f2_mode == "positional"
     if few:
-        narrow = dictionary.select("word", "stem", "idx")
+        narrow = dictionary.select("word", "stem", "idx", *[c for c in dictionary.columns if c.startswith(SIGNED)])
         if n >= plan.floors_from:
             # work per row grows with the queries, so rows are spread by number, not bytes
             narrow = narrow.repartition(shuffle_partitions(dictionary), "idx")

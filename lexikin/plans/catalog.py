@@ -289,20 +289,38 @@ def stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "benchmark").schema
     texts = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet").parquet(sf)
     asked = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
-    asked = asked.select(
-        F.xxhash64("word").alias("qid"), "word", F.lit("").alias("meaning")
-    ).dropDuplicates(["word"])
+    asked = asked.select(F.col("word").alias("qid"), "word", F.lit("").alias("meaning"))
     folder = scratch_folder(spark, "stream")
     stream_lookup(
         asked, _benchmark(spark, sf), f"{folder}/out", f"{folder}/state", LOGIT, K
     ).awaitTermination()
     answers = spark.read.parquet(f"{folder}/out").where("shape_results IS NOT NULL")
-    return answers.select("word", F.explode("shape_results").alias("h")).select(
+    # a word that comes in several batches is answered in each of them
+    return answers.dropDuplicates(["word"]).select("word", F.explode("shape_results").alias("h")).select(
         "word", F.col("h.rank").cast("long").alias("rank"), F.col("h.word").alias("hit"),
         F.col("h.meaning").alias("meaning"), F.round("h.score", 6).alias("score"),
     )
 
 
+def stream_of_meanings(spark: SparkSession, sf: str) -> DataFrame:
+    """The embeddings as a stream of meanings, answered like ``similar_semantic_cosine``."""
+    rows = vector_dictionary(spark, sf)
+    given = table(spark, sf, "embeddings")
+    texts = spark.readStream.schema(given.schema).option("pathGlobFilter", "embeddings.parquet").parquet(sf)
+    meaning = F.concat(F.lit("m"), F.col("label").cast("string"))
+    asked = texts.select(F.col("vec_id").alias("qid"), F.lit("").alias("word"), meaning.alias("meaning"))
+    vectors = given.select(F.col("vec_id").alias("qid"), F.col("embedding").cast("array<double>").alias("vec"))
+    folder = scratch_folder(spark, "stream")
+    stream_lookup(
+        asked, rows, f"{folder}/out", f"{folder}/state", LOGIT, K, encode=lambda batch: batch.join(vectors, "qid")
+    ).awaitTermination()
+    answers = spark.read.parquet(f"{folder}/out")
+    return answers.select("qid", F.explode("semantic_results").alias("h")).select(
+        "qid", F.col("h.rank").cast("long").alias("rank"), F.col("h.idx").alias("idx"),
+        F.col("h.word").alias("word"), F.col("h.meaning").alias("meaning"), F.round("h.score", 6).alias("score"),
+    )
+
+
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """The document dictionary written as CSV and read back by the dictionary reader."""
     folder = scratch_folder(spark, "csv")
@@ -420,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "similar_both_large": both_large,
     "format_hits": hit_lines,
     "stream_lookup": stream,
+    "stream_lookup_meanings": stream_of_meanings,
     "read_dictionary": csv_round_trip,
     "read_dictionary_gb18030": csv_in_gb18030,
     "read_dictionary_first_rows": csv_first_rows,

@@ -430,6 +430,7 @@ ORACLES: dict[str, str] = {
     f"(SELECT {HEADWORD} AS word, text AS meaning FROM documents) ORDER BY idx LIMIT 100",
 }
 ORACLES["stream_lookup"] = ORACLES["similar_shape_fixed"]
+ORACLES["stream_lookup_meanings"] = ORACLES["similar_semantic_cosine"]
 # The plans of large query tables give the rows of the small ones.
 for small, large in (
     ("similar_shape_fixed", "similar_shape_tiles"),
