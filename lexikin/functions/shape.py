@@ -21,6 +21,8 @@ from lexikin.functions.signature import (
     with_signature,
 )
 
+#: One bit is left for the carry.
+LETTERS_OF_A_LONG = 62
 FEATURES = [f"f{i}" for i in range(1, 8)]
 
 
@@ -47,20 +49,27 @@ def positional_ratio(a: str, b: str) -> Column:
 def lcs_length(a: str, b: str) -> Column:
     """Length of the longest common subsequence of two word columns.
 
-    The dynamic-programming row is an array; ``aggregate`` over the letters of
-    ``a`` rebuilds it from the letters of ``b``.
+    Up to 62 letters of ``a``, a row of the dynamic program is one long (Crochemore et
+    al., 2001): a letter of ``b`` costs its matches in ``a`` and one addition. Beyond, the
+    row is an array that ``aggregate`` rebuilds for each letter.
     """
-    letters_b = f"filter(split({b}, ''), c -> c <> '')"
+    letters = "filter(split({}, ''), c -> c <> '')"
+    matches = "aggregate(transform(letters, (x, i) -> CASE WHEN x = c THEN shiftleft(1L, i) ELSE 0L END), 0L, (s, m) -> s | m)"
+    full = f"(shiftleft(1L, length({a})) - 1)"
+    step = f"transform(array(v & {matches}), u -> ((v + u) | (v - u)) & {full})[0]"
+    bits = (
+        f"transform(array({letters.format(a)}), letters -> length({a}) - bit_count("
+        f"aggregate({letters.format(b)}, {full}, (v, c) -> {step})))[0]"
+    )
     row = (
         f"aggregate(sequence(1, length({b})), array(0), (cur, j) -> concat(cur, array("
         f"CASE WHEN x = substr({b}, j, 1) THEN prev[j - 1] + 1 "
         f"ELSE greatest(prev[j], cur[j - 1]) END)))"
     )
-    zeros = f"concat(array(0), transform({letters_b}, c -> 0))"
+    zeros = f"concat(array(0), transform({letters.format(b)}, c -> 0))"
     return F.expr(
-        f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE "
-        f"element_at(aggregate(filter(split({a}, ''), c -> c <> ''), {zeros}, "
-        f"(prev, x) -> {row}), -1) END"
+        f"CASE WHEN {a} = '' OR {b} = '' THEN 0 WHEN length({a}) <= {LETTERS_OF_A_LONG} THEN {bits} ELSE "
+        f"element_at(aggregate({letters.format(a)}, {zeros}, (prev, x) -> {row}), -1) END"
     )
 
 

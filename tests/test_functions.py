@@ -38,7 +38,7 @@ def random_word(rng):
 def pairs():
     rng = random.Random(7)
     out = [(random_word(rng), random_word(rng)) for _ in range(400)]
-    out += [("", ""), ("", "a"), ("a", ""), ("a", "a"), ("banana", "ananas"), ("happy", "heap")]
+    out += [("", ""), ("", "a"), ("a", ""), ("a", "a"), ("banana", "ananas"), ("happy", "heap"), ("ab" * 31, "ba" * 30), ("abc" * 21, "cab" * 22)]
     return out
 
 
