@@ -125,28 +125,23 @@ def edit_ratio(a: str, b: str) -> Column:
 
 
 def position_shifts(a: str, b: str) -> Column:
-    """Over the letters of ``a`` found in ``b``: the sum of the gaps between a
-    letter's place in ``a`` and its first place in ``b``, shifted left by 20 bits,
-    plus the number of such letters.
+    """Over the letters of ``a`` found in ``b``: the ``total`` of the gaps between a
+    letter's place in ``a`` and its first place in ``b``, and the ``found`` letters.
     """
     found_at = f"transform(split({a}word, ''), c -> locate(c, {b}word))"
-    shifts = (
-        f"transform({found_at}, (j, i) -> CASE WHEN j > 0 "
-        f"THEN shiftleft(CAST(abs(i + 1 - j) AS BIGINT), 20) + 1L ELSE 0L END)"
-    )
-    packed = F.expr(
-        f"CASE WHEN {a}word = '' OR {b}word = '' THEN 0L "
-        f"ELSE aggregate({shifts}, 0L, (acc, x) -> acc + x) END"
+    gaps = f"filter(transform({found_at}, (j, i) -> CASE WHEN j > 0 THEN CAST(abs(i + 1 - j) AS BIGINT) END), g -> g IS NOT NULL)"
+    return F.expr(
+        f"CASE WHEN {a}word = '' OR {b}word = '' THEN named_struct('total', 0L, 'found', 0L) "
+        f"ELSE aggregate({gaps}, named_struct('total', 0L, 'found', 0L), "
+        f"(acc, g) -> named_struct('total', acc.total + g, 'found', acc.found + 1L)) END"
     )
-    return packed
 
 
 def position_ratio(shifts: Column, longest: Column) -> Column:
     """f7: 1 - mean gap / longer length, from ``position_shifts``; 0 if no letter of
     the first word is found in the second. Not symmetric.
     """
-    total = F.shiftright(shifts, 20).cast("double")
-    found = shifts.bitwiseAND(F.lit((1 << 20) - 1)).cast("double")
+    total, found = shifts["total"].cast("double"), shifts["found"].cast("double")
     return F.when(found > 0, F.lit(1.0) - total / found / longest.cast("double")).otherwise(
         F.lit(0.0)
     )

@@ -12,7 +12,7 @@ from lexikin.functions.signature import with_signature
 from lexikin.functions.text import clean_meaning, clean_word, word_index_vector
 from lexikin.functions.vectors import METRICS, semantic_pair_score, vector_similarity
 from lexikin.operators import pairs
-from lexikin.operators.cluster import cluster_hierarchical, cluster_kmeans, project_2d
+from lexikin.operators.cluster import cluster_hierarchical, cluster_kmeans, nearest_centroid, project_2d
 from lexikin.operators.encode import meaning_vectors, shape_vectors
 from lexikin.operators.model import evaluate_pairs, train_shape_model
 from lexikin.operators.preprocess import tokenize_meaning, with_lemma
@@ -122,9 +122,10 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_api(spark: SparkSession, sf: str) -> DataFrame:
-    """The form for pairs without signatures: the first two words of each part's name."""
-    parts = table(spark, sf, "part").select(F.split("p_name", " ").alias("w")).distinct()
-    named = parts.select(F.col("w")[0].alias("a_word"), F.col("w")[1].alias("b_word"))
+    """The form for pairs without signatures: the neighbouring words of all parts' names."""
+    parts = table(spark, sf, "part").select(F.split("p_name", " ").alias("w"))
+    pair = F.expr("inline(transform(sequence(1, size(w)), i -> named_struct('a_word', w[i - 1], 'b_word', get(w, i))))")
+    named = parts.select(pair).where("b_word IS NOT NULL").distinct()
     named = named.withColumns({"a_stem": F.col("a_word"), "b_stem": F.col("b_word")})
     return shape_features(named).select("a_word", "b_word", *[rounded(f) for f in FEATURES])
 
@@ -385,6 +386,16 @@ def kmeans(spark: SparkSession, sf: str) -> DataFrame:
     return cluster_kmeans(_vectors(spark, sf), 8).select("idx", "semantic_cluster")
 
 
+def by_given_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding with the group whose mean vector is nearest."""
+    given = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vec"))
+    means = given.select("label", F.posexplode("vec").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("x"))
+    centres = means.groupBy(F.col("label").alias("cluster")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("centre")
+    )
+    return nearest_centroid(given, centres).select("vec_id", "semantic_cluster")
+
+
 def hierarchical(spark: SparkSession, sf: str) -> DataFrame:
     return cluster_hierarchical(_vectors(spark, sf), 8).select("idx", "semantic_cluster")
 
@@ -448,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "model_predictions": model_predictions,
     "cluster_kmeans": kmeans,
     "cluster_hierarchical": hierarchical,
+    "nearest_centroid": by_given_centroids,
     "project_2d": plane,
     "build_similarity_table": similarity_table,
     "build_similarity_table_trained": similarity_table_trained,

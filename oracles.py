@@ -366,7 +366,8 @@ ORACLES: dict[str, str] = {
     f"({words_of('documents', 'text')}) GROUP BY 1",
     "shape_features": f"WITH {BENCH}, p AS (SELECT a.word AS a_word, b.word AS b_word, {FEATURE_COLUMNS} FROM {NEXT}) "
     f"SELECT a_word, b_word, {ROUNDED} FROM p",
-    "shape_features_part_names": "WITH names AS (SELECT DISTINCT string_split(p_name, ' ') AS w FROM part), "
+    "shape_features_part_names": "WITH cut AS (SELECT string_split(p_name, ' ') AS s FROM part), "
+    "names AS (SELECT DISTINCT unnest([[s[i], s[i + 1]] for i in range(1, len(s))]) AS w FROM cut), "
     f"a0 AS ({_signed('SELECT w AS id, w[1] AS word, w[1] AS stem FROM names')}), "
     f"b0 AS ({_signed('SELECT w AS id, w[2] AS word, w[2] AS stem FROM names')}), "
     f"p AS (SELECT a.word AS a_word, b.word AS b_word, {FEATURE_COLUMNS} FROM a0 a JOIN b0 b ON a.id = b.id) "
@@ -424,6 +425,11 @@ ORACLES: dict[str, str] = {
         "string_agg(format('{}:{}({:.3f})', word, meaning, score), '; ' ORDER BY rank)",
         "",
     ),
+    "nearest_centroid": "WITH x AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS x, "
+    "generate_subscripts(embedding, 1) AS i FROM embeddings), "
+    "c AS (SELECT label, i, avg(x) AS m FROM x GROUP BY label, i), "
+    "d AS (SELECT vec_id, c.label, sum((x - m) * (x - m)) AS d FROM x JOIN c USING (i) GROUP BY vec_id, c.label) "
+    "SELECT vec_id, arg_min(label, (d, label)) AS semantic_cluster FROM d GROUP BY vec_id",
     "read_dictionary": f"SELECT {HEADWORD} AS word, text AS meaning FROM documents",
     "read_dictionary_gb18030": f"SELECT {HEADWORD} AS word, concat('义', text) AS meaning FROM documents",
     "read_dictionary_first_rows": f"SELECT row_number() OVER (ORDER BY word, meaning) - 1 AS idx, word, meaning FROM "
