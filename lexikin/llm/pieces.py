@@ -20,7 +20,7 @@ START = -1
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Slots of the filter of piece hashes and of the pairs met lately, words kept, and
 #: characters that advance together.
-SLOT_BITS, PAIR_BITS, CACHED, TOGETHER = 20, 21, 3 << 17, 1 << 16
+SLOT_BITS, PAIR_BITS, CACHED, TOGETHER = 20, 21, 1 << 18, 1 << 16
 TOGETHER_ROWS = 256
 U = np.uint64
 
@@ -345,6 +345,10 @@ class PieceModel:
             for e, o in zip(even, odd, strict=True)
         ]
 
+    def forget(self) -> None:
+        """Drop the words met: an idle worker process keeps the model alone."""
+        self.words, self.marked = {}, {}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; ill-formed byte runs give replacement characters."""
         text = b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -369,19 +373,25 @@ def _model(data: bytes) -> PieceModel:
 
 
 def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, keep: list[str] | None, column_of):
-    """``df`` with a column made from ``source``, TOGETHER_ROWS rows at a time."""
+    """``df`` with a column made from ``source``, TOGETHER_ROWS rows at a time.
+
+    ``column_of`` gives a task its function, and one to call at the task's end.
+    """
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() != name.lower()]
     # by place, so that no name meets another
     read = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate([*kept, source])))
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = column_of()
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER_ROWS):
-                part = batch.slice(at, TOGETHER_ROWS)
-                columns = [part.column(i) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays([*columns, made(part.column(len(kept)))], names=[*kept, name])
+        made, forget = column_of()
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TOGETHER_ROWS):
+                    part = batch.slice(at, TOGETHER_ROWS)
+                    columns = [part.column(i) for i in range(len(kept))]
+                    yield pa.RecordBatch.from_arrays([*columns, made(part.column(len(kept)))], names=[*kept, name])
+        finally:
+            forget()
 
     return read.mapInArrow(run, schema)
 
@@ -406,7 +416,7 @@ def encoded(
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "<i4"), *ids])))
 
-        return ids_of
+        return ids_of, known.forget
 
     return _with_column(docs, text_col, name, T.ArrayType(T.IntegerType()), keep, column_of)
 
@@ -428,6 +438,6 @@ def decoded(
             parts = (lists[i].values for i in range(len(lists)))
             return pa.array([known.decode(np.asarray([] if p is None else p, np.int64)) for p in parts], pa.string())
 
-        return texts_of
+        return texts_of, known.forget
 
     return _with_column(rows, ids_col, name, T.StringType(), keep, column_of)
