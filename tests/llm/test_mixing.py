@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from lexikin.llm import mixing as module
 from lexikin.llm.mixing import mixed_rows, source_plan
 
 
@@ -81,3 +82,30 @@ def test_odd_rows(docs_of, odd_rows):
     assert set(got) == {(i, t) for i, t, _ in odd_rows}
     docs = docs_of([(1, None, None), (2, "", None)])
     assert mixed_rows(docs).count() == 2 and mixed_rows(docs.limit(0)).count() == 0
+
+
+def test_last_pass_is_the_shortest_prefix(docs_of, monkeypatch):
+    """Over several blocks, the rows of a started pass come first in the mixture's order,
+    and are as few as reach the source's budget."""
+    monkeypatch.setattr(module, "BLOCK_ROWS", 64)
+    docs = docs_of(ROWS)
+    some = mixed_rows(docs, repeats=None, budget=9_000.0).collect()
+    all_of_it = mixed_rows(docs, repeats=None, budget=200_000.0).collect()
+    order = lambda r: (r.mix_block_order, r.mix_block, r.mix_row_order)
+    taken, whole = defaultdict(list), defaultdict(list)
+    for r in some:
+        taken[r.source, r.mix_epoch].append(r)
+    for r in all_of_it:
+        whole[r.source, r.mix_epoch].append(r)
+    plans = source_plan(docs.select("source", F.size(F.split(F.trim("text"), " ")).cast("long").alias("n_tokens")), budget=9_000.0)
+    for p in plans.collect():
+        rows = sorted(whole[p.source, p.full], key=order)
+        assert len(rows) == p.rows and len({r.mix_block for r in rows}) == -(-p.rows // 64)
+        first, sum_ = [], 0
+        for r in rows:
+            if sum_ >= p.rest:
+                break
+            first.append(r.doc_id)
+            sum_ += r.mix_tokens
+        assert sorted(r.doc_id for r in taken[p.source, p.full]) == sorted(first), p.source
+        assert all(len(taken[p.source, e]) == p.rows for e in range(p.full))
