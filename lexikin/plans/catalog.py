@@ -25,6 +25,7 @@ from lexikin.sources.dictionary import all_charsets, read_dictionary, write_resu
 from lexikin.sources.views import (
     document_dictionary,
     table,
+    table_stream,
     vector_dictionary,
     vocabulary,
     with_stems,
@@ -287,8 +288,7 @@ def hit_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream(spark: SparkSession, sf: str) -> DataFrame:
     """The benchmark words as a stream of texts, answered like ``lookalikes``."""
-    schema = table(spark, sf, "benchmark").schema
-    texts = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet").parquet(sf)
+    texts = table_stream(spark, sf, "benchmark")
     asked = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
     asked = asked.select(F.col("word").alias("qid"), "word", F.lit("").alias("meaning"))
     folder = scratch_folder(spark, "stream")
@@ -307,7 +307,7 @@ def stream_of_meanings(spark: SparkSession, sf: str) -> DataFrame:
     """The embeddings as a stream of meanings, answered like ``similar_semantic_cosine``."""
     rows = vector_dictionary(spark, sf)
     given = table(spark, sf, "embeddings")
-    texts = spark.readStream.schema(given.schema).option("pathGlobFilter", "embeddings.parquet").parquet(sf)
+    texts = table_stream(spark, sf, "embeddings")
     meaning = F.concat(F.lit("m"), F.col("label").cast("string"))
     asked = texts.select(F.col("vec_id").alias("qid"), F.lit("").alias("word"), meaning.alias("meaning"))
     vectors = given.select(F.col("vec_id").alias("qid"), F.col("embedding").cast("array<double>").alias("vec"))

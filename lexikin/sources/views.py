@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream of its files, be it one file or a folder of several."""
+    # a pattern, as a stream takes a path without one for a folder
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def word_counts(texts: DataFrame, text: str) -> DataFrame:
     """Distinct a-z runs of a text column with their frequency."""
     return (
