@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -103,12 +104,13 @@ def _sketched(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
     text_key where ``docs`` has it."""
     more = [c for c in docs.columns if c == "text_key"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, packer = Words(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                part = batch.iloc[at : at + TOGETHER]
-                words = [words_of(t) for t in part.text]
+            # of a batch, only the texts at hand become Python strings
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                words = [words_of(t) for t in part.column("text").to_pylist()]
                 sets = [shingles(w, size, known) for w in words]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 keys: list = [None] * len(sets)
@@ -116,25 +118,24 @@ def _sketched(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                     found = band_keys(fast_sketches([sets[i] for i in full], rows * bands), rows, bands)
                     for i, k in zip(full, found, strict=True):
                         keys[i] = k
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part.doc_id.to_numpy(),
-                        "n_shingles": [len(s) for s in sets],
-                        "set_key": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                        "bands": keys,
-                        "packed": [packer.compress(b" ".join(w)) for w in words],
-                        **{c: part[c].to_numpy() for c in more},
-                    }
-                )
+                made = {
+                    "doc_id": part.column("doc_id"),
+                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                    "set_key": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    "bands": pa.array(keys, pa.list_(pa.int64())),
+                    "packed": pa.array([packer.compress(b" ".join(w)) for w in words], pa.binary()),
+                    **{c: part.column(c) for c in more},
+                }
+                yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
     schema = "doc_id string, n_shingles long, set_key binary, bands array<long>, packed binary"
-    return docs.mapInPandas(run, ", ".join([schema, *(f"{c} binary" for c in more)]))
+    return docs.mapInArrow(run, ", ".join([schema, *(f"{c} binary" for c in more)]))
 
 
 def _similarities(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     """lo, hi, both, either: the exact sizes of intersection and union of each pair."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, open_, kept = Words(), zstandard.ZstdDecompressor(), OrderedDict()
 
         def full(node: int, data: bytes) -> np.ndarray:
@@ -146,17 +147,23 @@ def _similarities(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
             return kept[node]
 
         for batch in batches:
-            both, either = [], []
-            for lo, hi, a, b in zip(batch.lo, batch.hi, batch.a, batch.b, strict=True):
-                x, y = full(lo, a), full(hi, b)
-                both.append(len(np.intersect1d(x, y, assume_unique=True)))
-                either.append(len(x) + len(y) - both[-1])
-            yield pd.DataFrame({"lo": batch.lo, "hi": batch.hi, "both": both, "either": either})
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                both, either = [], []
+                for lo, hi, a, b in zip(*(part.column(c).to_pylist() for c in ("lo", "hi", "a", "b")), strict=True):
+                    x, y = full(lo, a), full(hi, b)
+                    both.append(len(np.intersect1d(x, y, assume_unique=True)))
+                    either.append(len(x) + len(y) - both[-1])
+                counts = [pa.array(c, pa.int64()) for c in (both, either)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("lo"), part.column("hi"), *counts], names=["lo", "hi", "both", "either"]
+                )
 
+    # the texts grow with the documents: never broadcast because a small table allows it
     sides = pairs.select("lo", "hi").join(
-        packed.select(F.col("node").alias("hi"), F.col("packed").alias("b")), "hi"
-    ).join(packed.select(F.col("node").alias("lo"), F.col("packed").alias("a")), "lo")
-    return written(sides.mapInPandas(run, "lo long, hi long, both long, either long"), "similarities")
+        packed.select(F.col("node").alias("hi"), F.col("packed").alias("b")).hint("merge"), "hi"
+    ).join(packed.select(F.col("node").alias("lo"), F.col("packed").alias("a")).hint("merge"), "lo")
+    return written(sides.mapInArrow(run, "lo long, hi long, both long, either long"), "similarities")
 
 
 def _block_links(size: int, percent: int):
@@ -261,7 +268,8 @@ def _in_groups(texts: DataFrame, size: int, percent: int, rows: int, bands: int)
         ),
         "classes",
     )
-    members = classes.select("node", F.explode("bands").alias("bucket"))
+    # dealt once, for the leaders and for those who meet them
+    members = classes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     leaders = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("c"))
     # both sides grow with the documents: never broadcast because a small table allows it
     leaders = leaders.where("c > 1").drop("c").hint("merge")
