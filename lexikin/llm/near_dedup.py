@@ -12,7 +12,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lexikin.llm.common import row_name, text_or_empty, without_rows, written
+from lexikin.llm.common import MARKS, few, row_name, text_or_empty, without_rows, written
 from lexikin.llm.graph import components
 
 #: Rows of a band and bands. A pair of similarity 0.8 misses all bands with
@@ -243,6 +243,19 @@ def _between_components(
     return links.union(blocks).distinct()
 
 
+def _of_nodes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (node, packed) whose node is one of ``nodes``.
+
+    Texts stay where they are: nodes go to them as bits, 64 row numbers to a mask. Only
+    beyond 64 * MARKS rows are the texts dealt out to their masks.
+    """
+    word, bit = F.shiftright("node", 6).alias("word"), F.expr("CAST(node & 63 AS INT)")
+    masks = nodes.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, CAST(node & 63 AS INT))")).alias("mask"))
+    masks = few(written(masks, "masks"), MARKS)
+    met = texts.withColumn("word", word).join(masks, "word")
+    return met.where(F.getbit("mask", bit) == 1).select(*texts.columns)
+
+
 def _in_groups(texts: DataFrame, size: int, percent: int, rows: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, set_key, component_id of each row of ``texts`` (doc_id, text).
 
@@ -268,17 +281,17 @@ def _in_groups(texts: DataFrame, size: int, percent: int, rows: int, bands: int)
         ),
         "classes",
     )
-    # dealt once, for the leaders and for those who meet them
-    members = classes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
+    # dealt once, for the leaders and for those who meet them: the join would add these
+    # conditions to one of the two sides only, whose exchange the other couldn't read
+    members = classes.select("node", F.explode("bands").alias("bucket"))
+    members = members.where("node IS NOT NULL AND bucket IS NOT NULL").repartition("bucket")
     leaders = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("c"))
     # both sides grow with the documents: never broadcast because a small table allows it
     leaders = leaders.where("c > 1").drop("c").hint("merge")
     stars = members.join(leaders, "bucket").where("node <> lead")
     stars = written(stars.select(F.col("lead").alias("lo"), F.col("node").alias("hi")).distinct(), "stars")
     nodes = stars.select(F.col("lo").alias("node")).union(stars.select("hi")).distinct()
-    packed = written(
-        full.select(F.col("row").alias("node"), "packed").join(nodes, "node", "left_semi"), "packed"
-    )
+    packed = written(_of_nodes(full.select(F.col("row").alias("node"), "packed"), nodes), "packed")
     checked = _similarities(stars, packed, size)
     linked = F.col("both") * 100 >= F.col("either") * percent
     links = checked.where(linked).select("lo", "hi")
