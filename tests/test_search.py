@@ -219,6 +219,7 @@ def test_vectors_are_sent_in_single_precision_where_it_holds_them():
     rows = blocks.packed(m)
     assert [len(r) for r in rows] == [8, 16, 16, 16, 8, 16]
     assert blocks.unpacked(pd.Series(rows, index=range(6, 12)), 2).tobytes() == m.tobytes()
+    assert blocks.unpacked(pd.Series(blocks.packed(np.zeros((3, 0)))), 0).shape == (3, 0)
 
 
 @pytest.mark.parametrize("metric", ["cosine", "euclidean", "manhattan"])
